@@ -8,6 +8,7 @@ file in a new version folder.  One writer at a time.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import defaultdict
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions.keys import any_null, lowercase_columns, partition_path, record_key
+from ..functions.local import local_frame
 from ..functions.scratch import delete_path, path_exists, scratch_dir
 from ..operators.counts import counted, observed
 from ..operators.merge import DELETED, blank_values, merge_on_read, newest_delta, pending_changes
@@ -45,8 +47,8 @@ BASE = "base"
 DELTA = "delta"
 _FILE = "_file"
 _SLOT = "_slot"
-# A list of files or partitions already held by the driver is broadcast up to this length.
-_BROADCAST_ROWS = 200_000
+_TAG = "_tag"
+_STORED, _GONE, _CHANGED = 0, 1, 2
 _META_FIELDS = [StructField(COMMIT_TIME, StringType()), StructField(COMMIT_SEQNO, StringType())]
 
 
@@ -64,8 +66,9 @@ class DataFile:
 class _Matches:
     """Stored rows that share a key with a change set."""
 
-    pairs: DataFrame | None  # identity columns, file, stored partition (, orderings)
-    files: dict[str, int]  # file -> matched rows
+    pairs: DataFrame | None  # keys, partition and file of each stored row to be replaced
+    beaten: DataFrame | None  # keys whose stored row stays because it is newer
+    files: dict[str, int]  # file -> rows to be replaced
 
 
 class KeyedTable:
@@ -80,8 +83,8 @@ class KeyedTable:
     @classmethod
     def create(cls, spark: SparkSession, root: str, spec: TableSpec) -> "KeyedTable":
         table = cls(spark, root, spec)
-        properties = spark.createDataFrame([(spec.to_json(),)], "value string")
-        properties.coalesce(1).write.mode("error").text(f"{table.root}/_properties")
+        properties = local_frame(spark, [(spec.to_json(),)], "value string")
+        properties.write.mode("error").text(f"{table.root}/_properties")
         return table
 
     @classmethod
@@ -104,7 +107,7 @@ class KeyedTable:
             "latest_commit": live[-1].commit_id if live else "",
             "schema": self._schema(live).simpleString() if live else "",
         }
-        return self.spark.createDataFrame(list(facts.items()), "property string, value string")
+        return local_frame(self.spark, list(facts.items()), "property string, value string")
 
     # ---- reading -------------------------------------------------------------------
 
@@ -364,8 +367,8 @@ class KeyedTable:
     def schedule_compaction(self, commit_id: str | None = None) -> str:
         """Ask for a compaction of the deltas committed so far."""
         commit_id = self._new_id(self.log.rows(), commit_id)
-        request = self.spark.createDataFrame([(commit_id,)], "commit_id string")
-        request.coalesce(1).write.mode("append").json(f"{self.root}/_requests")
+        request = local_frame(self.spark, [(commit_id,)], "commit_id string")
+        request.write.mode("append").json(f"{self.root}/_requests")
         return commit_id
 
     def compact(self, commit_id: str | None = None) -> str | None:
@@ -466,54 +469,71 @@ class KeyedTable:
         return commit_id
 
     def _merge_into_base(self, staged, schema, live, commit_id, policy, folded, header):
+        """Replace every file that holds a staged key, and find room for new records.
+
+        The wide rows are shuffled once: each goes straight to the task that writes
+        the successor of its file, where markers for replaced keys cancel the stored
+        rows.  No join ever sees the stored rows' other columns.
+        """
         on = list(self.spec.identity)
+        parts = list(self.spec.partition_by)
         stored_files = {f.path: f for f in self._live_files(live) if f.layer == BASE}
         pairs_path = scratch_dir(self.spark, "matches")
         matches = self._match(staged, schema, live, stored_files, policy, pairs_path)
-        path_of_row = partition_path(self.spec.partition_by)
-        keep_off = staged
-        if policy == EVENT_TIME and matches.pairs is not None:
-            beaten = matches.pairs.filter("_stored > _offered").select(*on)
-            keep_off = staged.join(beaten, on, "left_anti")
-        changed = keep_off.filter(~F.col(DELETED)).drop(DELETED).withColumn(PARTITION_PATH, path_of_row)
-        if matches.pairs is not None:
-            homes = matches.pairs.groupBy(*on).agg(F.min(F.struct(_FILE, "_home")).alias("_m"))
-            homes = homes.select(*on, F.col("_m._file").alias(_FILE), F.col("_m._home").alias("_home"))
-            changed = changed.join(homes, on, "left")
+        changed = staged.filter(~F.col(DELETED)).drop(DELETED)
+        if matches.pairs is None:
+            homes = local_frame(self.spark, [], StructType([schema[c] for c in on])).withColumns(
+                {_FILE: F.lit(None).cast("string"), "_home": F.lit(None).cast("string")}
+            )
         else:
-            changed = changed.withColumn(_FILE, F.lit(None).cast("string")).withColumn("_home", F.lit(None).cast("string"))
+            if policy == EVENT_TIME:
+                changed = changed.join(matches.beaten, on, "left_anti")
+            first = F.min(F.struct(_FILE, "_home")).alias("_first_match")
+            homes = matches.pairs.groupBy(*on).agg(first).select(*on, f"_first_match.{_FILE}", "_first_match._home")
+        changed = changed.join(homes, on, "left").withColumn(PARTITION_PATH, partition_path(parts))
         is_new = F.col(_FILE).isNull()
         stays = ~is_new & F.col("_home").eqNullSafe(F.col(PARTITION_PATH))
-        # one row per partition: what arrives there and has no file to go back to
+        # per partition: rows that arrive, that have no file to go back to, that are new records
         arriving = changed.groupBy(PARTITION_PATH).agg(
             F.count("*").alias("n"), F.count_if(~stays).alias("n_homeless"), F.count_if(is_new).alias("n_new")
         ).collect()
-        touched = [stored_files[p] for p in matches.files]
         touched, homes_of_new, n_slots = self._place(
-            touched, {r[PARTITION_PATH]: r.n_homeless for r in arriving}, list(stored_files.values())
+            [stored_files[p] for p in matches.files],
+            {r[PARTITION_PATH]: r.n_homeless for r in arriving},
+            list(stored_files.values()),
         )
-        slot_of_file = self._small(
-            [(f.path, i) for i, f in enumerate(touched)], f"{_FILE} string, {_SLOT} int"
-        )
-        slot_of_path = self._small(
-            [(p, first, n) for p, (first, n) in homes_of_new.items()], f"{PARTITION_PATH} string, _first int, _n int"
+        slot_of_path = local_frame(
+            self.spark,
+            [(p, first, n) for p, (first, n) in homes_of_new.items()],
+            f"{PARTITION_PATH} string, _first int, _n int",
         )
+        slot_of_file = self._slots(touched)
         spread = F.col("_first") + F.pmod(F.xxhash64(*self.spec.keys), F.col("_n")).cast("int")
-        changed = (
+        columns = [*schema.names, COMMIT_TIME, COMMIT_SEQNO]
+        out = (
             changed.withColumn(_FILE, F.when(stays, F.col(_FILE)))
             .join(slot_of_file, _FILE, "left")
             .join(slot_of_path, PARTITION_PATH, "left")
-            .withColumn(_SLOT, F.coalesce(_SLOT, spread))
+            .select(*columns, F.coalesce(_SLOT, spread).alias(_SLOT), F.lit(_CHANGED).alias(_TAG))
         )
-        columns = [*schema.names, COMMIT_TIME, COMMIT_SEQNO]
-        out = changed.select(*columns, _SLOT)
         if touched:
-            kept = self._scan(touched, schema, live, BASE)
-            kept = kept.join(keep_off.select(*on), on, "left_anti").join(slot_of_file, _FILE)
-            out = kept.select(*columns, _SLOT).unionByName(out)
-        # one task per new file: rows go to the file that replaces the one they came from
-        out = out.repartitionById(max(n_slots, 1), F.col(_SLOT)).drop(_SLOT)
-        self._write(out.sortWithinPartitions(*self.spec.partition_by, *self.spec.keys), BASE, commit_id)
+            kept = self._slotted(touched, schema, live).select(*columns, _SLOT, F.lit(_STORED).alias(_TAG))
+            out = kept.unionByName(out)
+        if matches.files:
+            gone = matches.pairs.join(slot_of_file, _FILE)
+            gone = gone.select(*parts, *[c for c in self.spec.keys if c not in parts], _SLOT, F.lit(_GONE).alias(_TAG))
+            out = out.unionByName(gone, allowMissingColumns=True)
+        out = out.repartitionById(max(n_slots, 1), F.col(_SLOT))
+        order = list(dict.fromkeys((*parts, *self.spec.keys)))
+        if matches.files:
+            # sorted by partition and key, as the files are written; the newest tag leads its key
+            same_record = Window.partitionBy(*order, _SLOT).orderBy(F.desc(_TAG))
+            leading = F.max(_TAG).over(same_record.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            survives = (F.col(_TAG) == _CHANGED) | (F.col("_leading") == _STORED)
+            out = out.withColumn("_leading", leading).filter(survives)
+        else:
+            out = out.sortWithinPartitions(*order)
+        self._write(out.select(*columns), BASE, commit_id)
         n_new = sum(r.n_new for r in arriving)
         n_changed = sum(r.n for r in arriving)
         n_matched = sum(matches.files.values())
@@ -531,39 +551,47 @@ class KeyedTable:
         its keys prunes row groups.  The staged side is broadcast by Spark if small.
         """
         on = list(self.spec.identity)
-        bounds = staged.agg(
-            *[f(c).alias(f"{name}_{i}") for i, c in enumerate(self.spec.keys) for name, f in (("lo", F.min), ("hi", F.max))]
-        ).first()
+        parts = list(self.spec.partition_by)
+        ranges = [
+            f(c).alias(f"{name}_{i}")
+            for i, c in enumerate(self.spec.keys)
+            for name, f in (("lo", F.min), ("hi", F.max))
+        ]
+        by_path = F.lit("") if self.spec.global_key else partition_path(parts)
+        bounds = staged.groupBy(by_path.alias("_path")).agg(*ranges).collect()
         candidates = list(stored_files.values())
-        if self.spec.partition_by and not self.spec.global_key:
-            hit = {r[0] for r in staged.select(partition_path(self.spec.partition_by)).distinct().collect()}
+        if parts and not self.spec.global_key:
+            hit = {r["_path"] for r in bounds}
             candidates = [f for f in candidates if f.partition_path in hit]
         if not candidates:
-            return _Matches(None, {})
+            return _Matches(None, None, {})
         stored = self._scan(candidates, schema, live, BASE)
         for i, key in enumerate(self.spec.keys):
-            stored = stored.filter(F.col(key).between(F.lit(bounds[f"lo_{i}"]), F.lit(bounds[f"hi_{i}"])))
-        stored = stored.withColumn("_home", partition_path(self.spec.partition_by))
+            lo, hi = min(r[f"lo_{i}"] for r in bounds), max(r[f"hi_{i}"] for r in bounds)
+            stored = stored.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
+        found = [*dict.fromkeys((*parts, *self.spec.keys)), _FILE, partition_path(parts).alias("_home")]
         offered = staged.select(*on)
-        extra = []
         if policy == EVENT_TIME:
-            extra = ["_stored", "_offered"]
-            stored = stored.withColumn("_stored", F.struct(*self.spec.order_by))
-            offered = staged.select(*on, F.struct(*self.spec.order_by).alias("_offered"))
-            # a pending delete has no ordering value and always wins
-            offered = staged.select(
-                *on,
-                F.when(~F.col(DELETED) | F.col(self.spec.order_by[0]).isNotNull(), F.struct(*self.spec.order_by)).alias("_offered"),
-            )
-        pairs = stored.join(offered, on).select(*on, _FILE, "_home", *extra)
+            found.append(F.struct(*self.spec.order_by).alias("_stored"))
+            # a delete without an ordering value always wins
+            orders = F.col(self.spec.order_by[0]).isNotNull() | ~F.col(DELETED)
+            offered = staged.select(*on, F.when(orders, F.struct(*self.spec.order_by)).alias("_offered"))
+        pairs = stored.select(*found).join(offered, on)
         pairs.write.parquet(pairs_path)
         pairs = self.spark.read.schema(pairs.schema).parquet(pairs_path)
-        winners = pairs
+        beaten = None
         if policy == EVENT_TIME:
             beaten = pairs.filter("_stored > _offered").select(*on)
-            winners = pairs.join(beaten, on, "left_anti")
-        files = {r[_FILE]: r.n for r in winners.groupBy(_FILE).agg(F.count("*").alias("n")).collect()}
-        return _Matches(pairs, files)
+            pairs = pairs.join(beaten, on, "left_anti")
+        files = {r[_FILE]: r.n for r in pairs.groupBy(_FILE).agg(F.count("*").alias("n")).collect()}
+        return _Matches(pairs, beaten, files)
+
+    def _slots(self, touched: list[DataFile]) -> DataFrame:
+        return local_frame(self.spark, [(f.path, i) for i, f in enumerate(touched)], f"{_FILE} string, {_SLOT} int")
+
+    def _slotted(self, touched: list[DataFile], schema: StructType, live: list[Row]) -> DataFrame:
+        """Rows of the files to replace, each with the number of its file."""
+        return self._scan(touched, schema, live, BASE).join(self._slots(touched), _FILE)
 
     def _place(self, touched: list[DataFile], homeless: dict[str, int], stored: list[DataFile]):
         """Number the new files: one per replaced file, then room for new rows by partition.
@@ -611,8 +639,7 @@ class KeyedTable:
             return None
         commit_id = self._new_id(rows, commit_id)
         touched = [files[p] for p in sorted(hits)]
-        slots = self._small([(f.path, i) for i, f in enumerate(touched)], f"{_FILE} string, {_SLOT} int")
-        part = self._scan(touched, schema, live, BASE)
+        part = self._slotted(touched, schema, live)
         chosen = F.coalesce(predicate, F.lit(False))
         if sets is None:
             part = part.filter(~chosen)
@@ -620,7 +647,7 @@ class KeyedTable:
             seqno = F.concat(F.lit(commit_id + "_"), F.monotonically_increasing_id())
             stamp = {COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: seqno}
             part = part.withColumns({c: F.when(chosen, v).otherwise(F.col(c)) for c, v in {**sets, **stamp}.items()})
-        out = part.join(slots, _FILE).repartitionById(len(touched), F.col(_SLOT))
+        out = part.repartitionById(len(touched), F.col(_SLOT))
         out = out.select(*schema.names, COMMIT_TIME, COMMIT_SEQNO)
         self._write(out.sortWithinPartitions(*self.spec.partition_by, *self.spec.keys), BASE, commit_id)
         n = sum(hits.values())
@@ -651,11 +678,6 @@ class KeyedTable:
         seqno = F.concat(F.lit(commit_id + "_"), F.monotonically_increasing_id())
         return df.withColumns({COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: seqno})
 
-    def _small(self, rows: Sequence[tuple], schema: str) -> DataFrame:
-        """A lookup made from a list the driver already holds; broadcast while it is short."""
-        df = self.spark.createDataFrame(list(rows), schema)
-        return F.broadcast(df) if len(rows) <= _BROADCAST_ROWS else df
-
     def _version(self, layer: str, commit_id: str) -> str:
         return f"{self.root}/{layer}/_version={commit_id}"
 
@@ -702,8 +724,10 @@ class KeyedTable:
             .agg(F.count("*").alias("n_rows"))
             .select(F.lit("add").alias("action"), F.lit(layer).alias("layer"), "path", "partition_path", "bytes", "n_rows")
         )
-        gone = self.spark.createDataFrame(
-            [("remove", f.layer, f.path, f.partition_path, f.bytes, f.n_rows) for f in removed], added.schema
+        gone = local_frame(
+            self.spark,
+            [("remove", f.layer, f.path, f.partition_path, f.bytes, f.n_rows) for f in removed],
+            added.schema,
         )
         total, seen = counted(
             added.unionByName(gone),
@@ -743,7 +767,7 @@ class KeyedTable:
     def _schema(self, live: list[Row]) -> StructType:
         if not live:
             raise ValueError(f"{self.root} has no commit")
-        return StructType.fromJson(__import__("json").loads(live[-1].table_schema))
+        return StructType.fromJson(json.loads(live[-1].table_schema))
 
     def _new_id(self, rows: list[Row], commit_id: str | None) -> str:
         """A commit id later than every other; made from the clock unless one is given."""

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from ..functions.local import local_frame
 from ..functions.scratch import path_exists
 
 COMMIT_SCHEMA = (
@@ -61,8 +62,8 @@ class CommitLog:
             files.coalesce(1).write.mode("overwrite").parquet(f"{self._files}/commit_id={commit_id}")
         schema = COMMIT_SCHEMA.removesuffix(", commit_id string")
         names = [part.split()[0] for part in schema.split(", ")]
-        row = self.spark.createDataFrame([tuple(header.get(n) for n in names)], schema)
-        row.coalesce(1).write.mode("error").parquet(f"{self._commits}/commit_id={commit_id}")
+        row = local_frame(self.spark, [tuple(header.get(n) for n in names)], schema)
+        row.write.mode("error").parquet(f"{self._commits}/commit_id={commit_id}")
 
 
 def rolled_back(rows: Iterable[Row]) -> set[str]:
