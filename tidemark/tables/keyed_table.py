@@ -129,29 +129,28 @@ class KeyedTable:
         view = view or ("rt" if self.spec.storage == MOR else "ro")
         schema = self._schema(live)
         files = self._live_files(live)
-        base = self._scan([f for f in files if f.layer == BASE], schema, live, BASE)
+        base = self._rows([f for f in files if f.layer == BASE], schema, live, BASE, metadata)
         pending = [f for f in files if f.layer == DELTA]
-        if metadata:
-            base = base.withColumn(FILE_NAME, F.element_at(F.split(_FILE, "/"), -1))
-        base = base.drop(_FILE)
         if view == "rt" and pending:
-            delta = self._scan(pending, schema, live, DELTA)
-            if metadata:
-                delta = delta.withColumn(FILE_NAME, F.element_at(F.split(_FILE, "/"), -1))
-            base = merge_on_read(base, delta.drop(_FILE), self.spec)
+            delta = self._rows(pending, schema, live, DELTA, metadata)
+            base = merge_on_read(base, delta, self.spec)
         if not metadata:
             return base.select(*schema.names)
         return base.withColumns(
             {RECORD_KEY: record_key(self.spec.keys), PARTITION_PATH: partition_path(self.spec.partition_by)}
         ).select(*METADATA_COLUMNS, *schema.names)
 
+    def _rows(self, files, schema, live, layer, named: bool) -> DataFrame:
+        df = self._scan(files, schema, live, layer, located=named)
+        return df.withColumn(FILE_NAME, F.element_at(F.split(_FILE, "/"), -1)).drop(_FILE) if named else df
+
     def pending(self, column: str) -> DataFrame:
         """Keys whose base value of a column differs from the pending one."""
         live = live_rows(self.log.rows())
         schema = self._schema(live)
         files = self._live_files(live)
-        base = self._scan([f for f in files if f.layer == BASE], schema, live, BASE).drop(_FILE)
-        delta = self._scan([f for f in files if f.layer == DELTA], schema, live, DELTA).drop(_FILE)
+        base = self._scan([f for f in files if f.layer == BASE], schema, live, BASE)
+        delta = self._scan([f for f in files if f.layer == DELTA], schema, live, DELTA)
         return pending_changes(base, delta, self.spec, column)
 
     def files(self, as_of: str | None = None) -> DataFrame:
@@ -388,7 +387,7 @@ class KeyedTable:
         if not pending:
             return None
         schema = self._schema(live)
-        delta = self._scan(pending, schema, live, DELTA).drop(_FILE)
+        delta = self._scan(pending, schema, live, DELTA)
         return self._apply(
             newest_delta(delta, self.spec), schema, rows, commit_id, "compact",
             kind=COMPACTION, as_of=commit_id, folded=pending,
@@ -565,7 +564,7 @@ class KeyedTable:
             candidates = [f for f in candidates if f.partition_path in hit]
         if not candidates:
             return _Matches(None, None, {})
-        stored = self._scan(candidates, schema, live, BASE)
+        stored = self._scan(candidates, schema, live, BASE, located=True)
         for i, key in enumerate(self.spec.keys):
             lo, hi = min(r[f"lo_{i}"] for r in bounds), max(r[f"hi_{i}"] for r in bounds)
             stored = stored.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
@@ -591,7 +590,7 @@ class KeyedTable:
 
     def _slotted(self, touched: list[DataFile], schema: StructType, live: list[Row]) -> DataFrame:
         """Rows of the files to replace, each with the number of its file."""
-        return self._scan(touched, schema, live, BASE).join(self._slots(touched), _FILE)
+        return self._scan(touched, schema, live, BASE, located=True).join(self._slots(touched), _FILE)
 
     def _place(self, touched: list[DataFile], homeless: dict[str, int], stored: list[DataFile]):
         """Number the new files: one per replaced file, then room for new rows by partition.
@@ -633,7 +632,7 @@ class KeyedTable:
         live = live_rows(rows)
         schema = self._schema(live)
         files = {f.path: f for f in self._live_files(live) if f.layer == BASE}
-        stored = self._scan(list(files.values()), schema, live, BASE)
+        stored = self._scan(list(files.values()), schema, live, BASE, located=True)
         hits = {r[_FILE]: r.n for r in stored.filter(predicate).groupBy(_FILE).agg(F.count("*").alias("n")).collect()}
         if not hits:
             return None
@@ -691,11 +690,18 @@ class KeyedTable:
         extra = [StructField(DELETED, BooleanType())] if layer == DELTA else []
         return StructType([*schema.fields, *_META_FIELDS, *extra])
 
-    def _scan(self, files: list[DataFile], schema: StructType, live: list[Row], layer: str) -> DataFrame:
-        """Read data files as one native Parquet scan, with each row's file in ``_file``."""
+    def _scan(
+        self, files: list[DataFile], schema: StructType, live: list[Row], layer: str, located: bool = False
+    ) -> DataFrame:
+        """Read data files as one native Parquet scan; ``located`` adds each row's file.
+
+        The file column is added on request only: Spark reads row numbers as well when
+        the file metadata ends up unused.
+        """
         stored = self._stored_schema(schema, layer)
         if not files:
-            return self.spark.createDataFrame([], StructType([*stored.fields, StructField(_FILE, StringType())]))
+            extra = [StructField(_FILE, StringType())] if located else []
+            return self.spark.createDataFrame([], StructType([*stored.fields, *extra]))
         written = {r.commit_id: r.n_files for r in live}
         by_version = defaultdict(list)
         for f in files:
@@ -707,7 +713,9 @@ class KeyedTable:
             else:
                 paths += [f"{self.root}/{_literal_path(f.path)}" for f in members]
         df = self.spark.read.schema(stored).option("basePath", f"{self.root}/{layer}").parquet(*paths)
-        return df.withColumn(_FILE, _relative(F.col("_metadata.file_path"))).drop("_version")
+        if located:
+            df = df.withColumn(_FILE, _relative(F.col("_metadata.file_path")))
+        return df.drop("_version")
 
     def _commit(self, commit_id, layer, schema, removed: list[DataFile], is_delete=False, **header) -> int:
         """Log a finished write: its files come from the footers, so counts cost no data scan."""
