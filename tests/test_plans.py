@@ -2,8 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
-
 from tests.conftest import SF
 from tidemark import KeyedTable, TableSpec
 from tidemark.operators import merge_on_read, precombine, upsert
@@ -76,7 +74,7 @@ def test_a_rewrite_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
     table.bulk_insert(generated_records(spark, 0, 1000), "1", n_files=3)
     seen = []
     write = table._write
-    monkeypatch.setattr(table, "_write", lambda df, *a: (seen.append(plan(df)), write(df, *a)))
+    monkeypatch.setattr(table, "_write", lambda df, *a: seen.append(plan(df)) or write(df, *a))
     table.upsert(generated_records(spark, 0, 900, 1), "2")
     (text,) = seen
     assert text.count("shufflepartitionidpassthrough") == 1
@@ -85,10 +83,3 @@ def test_a_rewrite_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
     assert len([s for s in scans if "txt:string" in s]) == 2  # touched files, staged changes
     assert "SortMergeJoin" not in text
 
-
-def test_partition_counts_need_no_scan(spark, tmp_path):
-    table = KeyedTable.create(spark, str(tmp_path / "t"), FLAT.with_(partition_by="txt"))
-    table.insert(generated_records(spark, 0, 260), "1")
-    df = table.partition_row_counts()
-    assert {r.n for r in df.collect()} == {10}
-    assert "/base/" not in plan(df) and df.agg(F.sum("n")).first()[0] == 260

@@ -32,3 +32,10 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(target).getLength()

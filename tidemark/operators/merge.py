@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..spec import COMMIT_TIME, DELETE, EVENT_TIME, TableSpec
 from .precombine import precombine
 
 DELETED = "_deleted"
+# set on a change that wins whatever its ordering value is
+FORCED = "_forced"
 
 
 def _newest(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -47,11 +49,17 @@ def _not_older(base: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFra
     """Incoming rows that are not beaten by a stored row with a larger ordering value."""
     on = list(spec.identity)
     stored = base.select(*on, F.struct(*spec.order_by).alias("_stored"))
-    offered = incoming.select(*on, F.struct(*spec.order_by).alias("_offered"))
+    offered = incoming.select(*on, offered_order(incoming, spec).alias("_offered"))
     beaten = stored.join(offered, on).filter("_stored > _offered").select(*on)
     return incoming.join(beaten, on, "left_anti")
 
 
+def offered_order(changes: DataFrame, spec: TableSpec) -> Column:
+    """The ordering value a change competes with; NULL, which nothing beats, when it is forced."""
+    order = F.struct(*spec.order_by)
+    return F.when(~F.col(FORCED), order) if FORCED in changes.columns else order
+
+
 def hard_delete(base: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not in the list; repeated or unknown keys do no harm."""
     return base.join(keys.select(*on), list(on), "left_anti")
@@ -123,11 +131,26 @@ def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Col
 
 
 def newest_delta(delta: DataFrame, spec: TableSpec) -> DataFrame:
-    """One pending change per key: the last commit wins, or the largest ordering value."""
+    """One pending change per key: the last commit wins, or the largest ordering value.
+
+    A delete ends what came before it.  It carries no ordering value, so under
+    ``event_time`` it, and whatever follows it, is marked as winning over the base.
+    """
+    if DELETED not in delta.columns:
+        delta = delta.withColumn(DELETED, F.lit(False))
     commit = (COMMIT_TIME,) if COMMIT_TIME in delta.columns else ()
-    if spec.policy == EVENT_TIME:
-        return precombine(delta, spec.identity, spec.order_by, (*commit, *spec.tie_breakers))
-    return precombine(delta, spec.identity, (*commit, *spec.order_by), spec.tie_breakers)
+    if spec.policy != EVENT_TIME:
+        latest = precombine(delta, spec.identity, (*commit, *spec.order_by), spec.tie_breakers)
+        return latest.withColumn(FORCED, F.lit(False))
+    if commit:
+        # at most one row per key and commit reaches this window
+        deleted_at = F.max(F.when(F.col(DELETED), F.col(COMMIT_TIME))).over(Window.partitionBy(*spec.identity))
+        delta = delta.withColumn("_deleted_at", deleted_at)
+        delta = delta.filter(F.col("_deleted_at").isNull() | (F.col(COMMIT_TIME) >= F.col("_deleted_at")))
+        delta = delta.withColumn(FORCED, F.col("_deleted_at").isNotNull()).drop("_deleted_at")
+    else:
+        delta = delta.withColumn(FORCED, F.col(DELETED))
+    return precombine(delta, spec.identity, spec.order_by, (*commit, *spec.tie_breakers))
 
 
 def merge_on_read(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
@@ -136,13 +159,9 @@ def merge_on_read(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFra
     Only the delta is aggregated.  The base is filtered by an anti-join, which is
     a broadcast join, with no shuffle of the base, while the delta is small.
     """
-    latest = newest_delta(delta, spec)
-    if DELETED not in latest.columns:
-        latest = latest.withColumn(DELETED, F.lit(False))
-    merged = upsert(
-        base.withColumn(DELETED, F.lit(False)), latest, spec, policy=spec.policy, deduplicated=True
-    )
-    return merged.filter(~F.col(DELETED)).drop(DELETED)
+    flagged = base.withColumns({DELETED: F.lit(False), FORCED: F.lit(False)})
+    merged = upsert(flagged, newest_delta(delta, spec), spec, deduplicated=True)
+    return merged.filter(~F.col(DELETED)).drop(DELETED, FORCED)
 
 
 def pending_changes(base: DataFrame, delta: DataFrame, spec: TableSpec, column: str) -> DataFrame:
@@ -152,8 +171,6 @@ def pending_changes(base: DataFrame, delta: DataFrame, spec: TableSpec, column:
     """
     on = list(spec.identity)
     latest = newest_delta(delta, spec)
-    if DELETED not in latest.columns:
-        latest = latest.withColumn(DELETED, F.lit(False))
     if spec.policy == EVENT_TIME:
         latest = _not_older(base, latest, spec)
     new = latest.select(

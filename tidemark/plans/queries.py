@@ -175,7 +175,8 @@ def stream_replay_idempotent(spark, sf):
 def bulk_insert(spark, sf):
     table = _new_table(spark, BATCH)
     table.bulk_insert(sales.lines(spark, sf).select(*R, *TIES), C1, n_files=3)
-    return table.files().agg(F.sum("n_rows").alias("n"), F.count("*").alias("files"))
+    files = table.files().groupBy("commit_id").agg(F.count("*").alias("files"))
+    return table.commits().join(files, "commit_id").select(F.col("rows_inserted").alias("n"), "files")
 
 
 @query

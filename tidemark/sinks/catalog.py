@@ -14,7 +14,7 @@ from ..operators.schema import diff_schemas
 from ..spec import COMMIT_TIME
 from ..tables import KeyedTable
 
-_RELATIVE = r"regexp_extract(_metadata.file_path, '((?:base|delta)/_version=.*)$', 1)"
+_LOGGED_PATH = "substring_index(_metadata.file_path, '/_version=', -1)"
 
 
 def _quoted(text: str) -> str:
@@ -63,7 +63,7 @@ def _live_query(table: KeyedTable, files: str) -> str:
     present = table.log.files(versions).filter("action = 'add' AND layer = 'base'").select("path").collect()
     replaced = sorted(r.path for r in present if r.path not in kept)
     if replaced:
-        query += f" AND {_RELATIVE} NOT IN ({', '.join(map(_quoted, replaced))})"
+        query += f" AND {_LOGGED_PATH} NOT IN ({', '.join(map(_quoted, replaced))})"
     return query
 
 

@@ -18,7 +18,7 @@ def latest_files(table: KeyedTable, as_of: str | None = None) -> DataFrame:
     """Full paths of the base files live at a commit, with their partition values."""
     files = table.files(as_of).filter("layer = 'base'")
     return files.select(
-        F.concat(F.lit(table.root + "/"), _decoded(F.col("path"))).alias("file"),
+        F.concat(F.lit(f"{table.root}/base/_version="), _decoded(F.col("path"))).alias("file"),
         *partition_values("partition_path", table.spec.partition_by),
     )
 

@@ -19,13 +19,21 @@ from datetime import datetime, timezone
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..functions.keys import any_null, lowercase_columns, partition_path, record_key
 from ..functions.local import local_frame
-from ..functions.scratch import delete_path, path_exists, scratch_dir
+from ..functions.scratch import delete_path, path_bytes, path_exists, scratch_dir
 from ..operators.counts import counted, observed
-from ..operators.merge import DELETED, blank_values, merge_on_read, newest_delta, pending_changes
+from ..operators.merge import (
+    DELETED,
+    FORCED,
+    blank_values,
+    merge_on_read,
+    newest_delta,
+    offered_order,
+    pending_changes,
+)
 from ..operators.precombine import precombine, tied_keys
 from ..operators.schema import conform, widen
 from ..spec import (
@@ -49,7 +57,8 @@ _FILE = "_file"
 _SLOT = "_slot"
 _TAG = "_tag"
 _STORED, _GONE, _CHANGED = 0, 1, 2
-_META_FIELDS = [StructField(COMMIT_TIME, StringType()), StructField(COMMIT_SEQNO, StringType())]
+# the sequence number is stored as a plain number and shown as <commit>_<number>
+_META_FIELDS = [StructField(COMMIT_TIME, StringType()), StructField(COMMIT_SEQNO, LongType())]
 
 
 @dataclass(frozen=True)
@@ -59,7 +68,6 @@ class DataFile:
     path: str
     partition_path: str
     bytes: int
-    n_rows: int
 
 
 @dataclass
@@ -123,9 +131,12 @@ class KeyedTable:
         ``view``: ``ro`` reads the base files only, ``rt`` merges pending changes in.
         The plan is bound to the files live now; later commits do not disturb it.
         """
-        live = live_rows(self.log.rows(), as_of)
+        rows = self.log.rows()
+        live = live_rows(rows, as_of)
         if not live:
             raise ValueError(f"{self.root} has no commit" + (f" up to {as_of}" if as_of else ""))
+        if as_of is not None:
+            self._refuse_expired(rows, live)
         view = view or ("rt" if self.spec.storage == MOR else "ro")
         schema = self._schema(live)
         files = self._live_files(live)
@@ -137,7 +148,11 @@ class KeyedTable:
         if not metadata:
             return base.select(*schema.names)
         return base.withColumns(
-            {RECORD_KEY: record_key(self.spec.keys), PARTITION_PATH: partition_path(self.spec.partition_by)}
+            {
+                COMMIT_SEQNO: F.concat(COMMIT_TIME, F.lit("_"), COMMIT_SEQNO),
+                RECORD_KEY: record_key(self.spec.keys),
+                PARTITION_PATH: partition_path(self.spec.partition_by),
+            }
         ).select(*METADATA_COLUMNS, *schema.names)
 
     def _rows(self, files, schema, live, layer, named: bool) -> DataFrame:
@@ -154,17 +169,12 @@ class KeyedTable:
         return pending_changes(base, delta, self.spec, column)
 
     def files(self, as_of: str | None = None) -> DataFrame:
-        """Live data files: layer, commit_id, path, partition_path, bytes, n_rows."""
+        """Live data files: layer, commit_id, path, partition_path, bytes."""
         return self._live_file_rows(live_rows(self.log.rows(), as_of))
 
     def partitions(self) -> DataFrame:
-        """Partitions that hold rows, from the log alone."""
-        return self.files().filter("n_rows > 0").select("partition_path").distinct()
-
-    def partition_row_counts(self) -> DataFrame:
-        """Stored rows per partition (base files), from the log alone."""
-        base = self.files().filter(F.col("layer") == BASE)
-        return base.groupBy("partition_path").agg(F.sum("n_rows").alias("n"))
+        """Partitions that hold files, from the log alone."""
+        return self.files().select("partition_path").distinct()
 
     # ---- history -------------------------------------------------------------------
 
@@ -244,16 +254,16 @@ class KeyedTable:
         undone = [i for i in rolled_back(rows)]
         orphans = history.filter(F.col("commit_id").isin(undone or [""]) & (F.col("action") == "add"))
         orphans = orphans.join(expired, "path", "left_anti")
-        doomed = due.select("layer", "path", "partition_path", "bytes", "n_rows").unionByName(
-            orphans.select("layer", "path", "partition_path", "bytes", "n_rows")
+        doomed = due.select("layer", "path", "partition_path", "bytes").unionByName(
+            orphans.select("layer", "path", "partition_path", "bytes")
         )
-        paths = [r.path for r in doomed.select("path").collect()]
+        paths = [f"{self.root}/{r.layer}/_version={unquote(r.path)}" for r in doomed.collect()]
         if not paths:
             return 0
-        listed = doomed.withColumn("action", F.lit("expire")).withColumn("commit_id", F.lit(commit_id))
-        self.log.write(commit_id, listed.drop("commit_id"), kind=CLEAN, operation="clean", n_files=len(paths))
+        self.log.write_files(commit_id, doomed.withColumn("action", F.lit("expire")))
+        self.log.write(commit_id, kind=CLEAN, operation="clean", n_files=len(paths))
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda p: delete_path(self.spark, f"{self.root}/{unquote(p)}"), paths))
+            list(pool.map(lambda path: delete_path(self.spark, path), paths))
         return len(paths)
 
     # ---- writing -------------------------------------------------------------------
@@ -312,10 +322,7 @@ class KeyedTable:
             return None
         schema = self._schema(live)
         keys = lowercase_columns(keys)
-        on = [c for c in self.spec.identity if c in keys.columns]
-        absent = [c for c in self.spec.keys if c not in on]
-        if absent:
-            raise ValueError(f"delete list lacks key columns {', '.join(absent)}")
+        on = self._listed_columns(keys)
         listed = keys.select(*on)
         if set(on) != set(self.spec.identity):
             # no partition given: look the records up to learn where they are
@@ -340,7 +347,7 @@ class KeyedTable:
     ) -> str | None:
         """Keep the listed records but blank their other fields."""
         current = self.snapshot()
-        on = [c for c in self.spec.identity if c in keys.columns]
+        on = self._listed_columns(keys)
         rows = current.join(keys.select(*on), on, "left_semi")
         return self.upsert(rows.withColumns(blank_values(current, self.spec, values)), commit_id)
 
@@ -381,6 +388,8 @@ class KeyedTable:
         }
         if not scheduled:
             commit_id = self._new_id(rows, commit_id)
+        if any(r.kind in (COMMIT, COMPACTION) and r.commit_id > commit_id for r in live_rows(rows)):
+            raise ValueError(f"the base has changed since compaction {commit_id} was scheduled")
         live = live_rows(rows, commit_id)
         files = self._live_files(live)
         pending = [f for f in files if f.layer == DELTA]
@@ -407,19 +416,22 @@ class KeyedTable:
             schema = _nullable(df.schema)
         commit_id = self._new_id(rows, commit_id)
         order = [*self.spec.partition_by, *self.spec.keys]
-        checked, seen = counted(df.select(*schema.names), bad=F.count_if(self._unusable()))
-        stamped = self._stamp(checked, commit_id)
+        stamped = self._stamp(df.select(*schema.names), commit_id)
         if n_files:
             placed = stamped.repartitionByRange(n_files, *order)
         else:
             placed = stamped.hint("rebalance", *self.spec.partition_by)
-        self._write(placed.sortWithinPartitions(*order), BASE, commit_id)
-        self._refuse_bad_keys(observed(seen), BASE, commit_id)
+        counts = self._write(placed.sortWithinPartitions(*order), BASE, commit_id, bad=F.count_if(self._unusable()))
+        self._refuse_bad_keys(counts, BASE, commit_id)
         removed = self._live_files(live) if overwrite else []
-        n = self._commit(
-            commit_id, BASE, schema, removed, kind=COMMIT, operation=operation,
+        if not counts["rows"] and not removed:
+            delete_path(self.spark, self._version(BASE, commit_id))
+            return None
+        self._commit(
+            commit_id, BASE, schema, counts["rows"], removed, kind=COMMIT, operation=operation,
+            rows_inserted=counts["rows"], rows_updated=0, rows_deleted=0,
         )
-        return commit_id if n or removed else None
+        return commit_id
 
     def _apply(
         self, changes, schema, rows, commit_id, operation, policy=None, kind=COMMIT, as_of=None,
@@ -436,38 +448,48 @@ class KeyedTable:
                 raise ValueError(
                     f"{tied.count()} keys have rows tied on {', '.join(self.spec.order_by)}; declare tie_breakers"
                 )
+        # a rewrite sees the change set several times, so it is computed and stored once
         if kind == COMPACTION:
-            checked, seen = counted(changes, bad=F.lit(0).cast("bigint") + F.count_if(F.lit(False)))
-            ready = checked
+            ready, seen = counted(changes)
         else:
             checked, seen = counted(changes, bad=F.count_if(self._unusable(operation == "delete")))
             ready = self._stamp(
                 precombine(checked, self.spec.identity, self.spec.order_by, self.spec.tie_breakers),
                 commit_id,
             )
-        if deltas:
-            self._write(ready.hint("rebalance", *self.spec.partition_by), DELTA, commit_id)
-        else:
-            ready.write.parquet(stage)
-        counts = observed(seen)
-        if not counts["rows"]:
-            return None
-        self._refuse_bad_keys(counts, DELTA if deltas else None, commit_id)
         header = dict(kind=kind, operation=operation, query_id=query_id, batch_id=batch_id)
         if deltas:
-            header["kind"] = DELTACOMMIT
-            self._commit(commit_id, DELTA, schema, [], is_delete=operation == "delete", **header)
+            written = self._write(ready.hint("rebalance", *self.spec.partition_by), DELTA, commit_id)
+            counts = observed(seen)
+            if not counts["rows"]:
+                delete_path(self.spark, self._version(DELTA, commit_id))
+                return None
+            self._refuse_bad_keys(counts, DELTA, commit_id)
+            # whether a pending row is new is not known before it meets the base
+            n, gone = written["rows"], operation == "delete"
+            header.update(
+                kind=DELTACOMMIT, rows_inserted=0 if gone else n, rows_updated=0, rows_deleted=n if gone else 0
+            )
+            self._commit(commit_id, DELTA, schema, n, [], **header)
             return commit_id
         try:
-            staged = self.spark.read.schema(
-                StructType([*schema.fields, *_META_FIELDS, StructField(DELETED, BooleanType())])
-            ).parquet(stage)
-            self._merge_into_base(staged, schema, live, commit_id, policy, list(folded), header)
+            if kind != COMPACTION:
+                ready = ready.withColumn(FORCED, F.col(DELETED))  # a key-only delete has no ordering value
+            ready.write.parquet(stage)
+            counts = observed(seen)
+            if not counts["rows"]:
+                return None
+            self._refuse_bad_keys(counts, None, commit_id)
+            flags = [StructField(DELETED, BooleanType()), StructField(FORCED, BooleanType())]
+            staged = self.spark.read.schema(StructType([*schema.fields, *_META_FIELDS, *flags])).parquet(stage)
+            self._merge_into_base(
+                staged, path_bytes(self.spark, stage), schema, live, commit_id, policy, list(folded), header
+            )
         finally:
             delete_path(self.spark, stage)
         return commit_id
 
-    def _merge_into_base(self, staged, schema, live, commit_id, policy, folded, header):
+    def _merge_into_base(self, staged, staged_bytes, schema, live, commit_id, policy, folded, header):
         """Replace every file that holds a staged key, and find room for new records.
 
         The wide rows are shuffled once: each goes straight to the task that writes
@@ -479,7 +501,7 @@ class KeyedTable:
         stored_files = {f.path: f for f in self._live_files(live) if f.layer == BASE}
         pairs_path = scratch_dir(self.spark, "matches")
         matches = self._match(staged, schema, live, stored_files, policy, pairs_path)
-        changed = staged.filter(~F.col(DELETED)).drop(DELETED)
+        changed = staged.filter(~F.col(DELETED)).drop(DELETED, FORCED)
         if matches.pairs is None:
             homes = local_frame(self.spark, [], StructType([schema[c] for c in on])).withColumns(
                 {_FILE: F.lit(None).cast("string"), "_home": F.lit(None).cast("string")}
@@ -496,9 +518,10 @@ class KeyedTable:
         arriving = changed.groupBy(PARTITION_PATH).agg(
             F.count("*").alias("n"), F.count_if(~stays).alias("n_homeless"), F.count_if(is_new).alias("n_new")
         ).collect()
+        row_bytes = staged_bytes / max(1, sum(r.n for r in arriving))
         touched, homes_of_new, n_slots = self._place(
             [stored_files[p] for p in matches.files],
-            {r[PARTITION_PATH]: r.n_homeless for r in arriving},
+            {r[PARTITION_PATH]: r.n_homeless * row_bytes for r in arriving if r.n_homeless},
             list(stored_files.values()),
         )
         slot_of_path = local_frame(
@@ -532,14 +555,14 @@ class KeyedTable:
             out = out.withColumn("_leading", leading).filter(survives)
         else:
             out = out.sortWithinPartitions(*order)
-        self._write(out.select(*columns), BASE, commit_id)
+        written = self._write(out.select(*columns), BASE, commit_id)
         n_new = sum(r.n_new for r in arriving)
         n_changed = sum(r.n for r in arriving)
         n_matched = sum(matches.files.values())
         header.update(
             rows_inserted=n_new, rows_updated=n_changed - n_new, rows_deleted=n_matched - (n_changed - n_new)
         )
-        self._commit(commit_id, BASE, schema, [*touched, *folded], **header)
+        self._commit(commit_id, BASE, schema, written["rows"], [*touched, *folded], **header)
         if matches.pairs is not None:
             delete_path(self.spark, pairs_path)
 
@@ -572,9 +595,7 @@ class KeyedTable:
         offered = staged.select(*on)
         if policy == EVENT_TIME:
             found.append(F.struct(*self.spec.order_by).alias("_stored"))
-            # a delete without an ordering value always wins
-            orders = F.col(self.spec.order_by[0]).isNotNull() | ~F.col(DELETED)
-            offered = staged.select(*on, F.when(orders, F.struct(*self.spec.order_by)).alias("_offered"))
+            offered = staged.select(*on, offered_order(staged, self.spec).alias("_offered"))
         pairs = stored.select(*found).join(offered, on)
         pairs.write.parquet(pairs_path)
         pairs = self.spark.read.schema(pairs.schema).parquet(pairs_path)
@@ -592,16 +613,14 @@ class KeyedTable:
         """Rows of the files to replace, each with the number of its file."""
         return self._scan(touched, schema, live, BASE, located=True).join(self._slots(touched), _FILE)
 
-    def _place(self, touched: list[DataFile], homeless: dict[str, int], stored: list[DataFile]):
+    def _place(self, touched: list[DataFile], arriving: dict[str, float], stored: list[DataFile]):
         """Number the new files: one per replaced file, then room for new rows by partition.
 
-        New rows of a partition join its smallest file while that stays small;
-        otherwise they get files of the target size of their own, however many
-        the partition needs.
+        ``arriving`` estimates the bytes of new rows per partition.  They join the
+        partition's smallest file while that stays small; otherwise they get files of
+        the target size of their own, however many the partition needs.
         """
         touched = list(touched)
-        n_rows, n_bytes = sum(f.n_rows for f in stored), sum(f.bytes for f in stored)
-        row_bytes = n_bytes / n_rows if n_rows else 100.0
         smallest: dict[str, DataFile] = {}
         for f in stored:
             if f.bytes < self.spec.small_file_bytes:
@@ -611,8 +630,7 @@ class KeyedTable:
         number = {f.path: i for i, f in enumerate(touched)}
         homes: dict[str, tuple[int, int]] = {}
         apart: dict[str, int] = {}
-        for path in sorted(p for p, n in homeless.items() if n):
-            size = homeless[path] * row_bytes
+        for path, size in sorted(arriving.items()):
             small = smallest.get(path)
             if small is not None and small.bytes + size <= self.spec.target_file_bytes:
                 if small.path not in number:
@@ -643,21 +661,27 @@ class KeyedTable:
         if sets is None:
             part = part.filter(~chosen)
         else:
-            seqno = F.concat(F.lit(commit_id + "_"), F.monotonically_increasing_id())
-            stamp = {COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: seqno}
+            stamp = {COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: F.monotonically_increasing_id()}
             part = part.withColumns({c: F.when(chosen, v).otherwise(F.col(c)) for c, v in {**sets, **stamp}.items()})
         out = part.repartitionById(len(touched), F.col(_SLOT))
         out = out.select(*schema.names, COMMIT_TIME, COMMIT_SEQNO)
-        self._write(out.sortWithinPartitions(*self.spec.partition_by, *self.spec.keys), BASE, commit_id)
+        written = self._write(out.sortWithinPartitions(*self.spec.partition_by, *self.spec.keys), BASE, commit_id)
         n = sum(hits.values())
         self._commit(
-            commit_id, BASE, schema, touched, kind=COMMIT, operation=operation,
+            commit_id, BASE, schema, written["rows"], touched, kind=COMMIT, operation=operation,
             rows_inserted=0, rows_updated=0 if sets is None else n, rows_deleted=n if sets is None else 0,
         )
         return commit_id
 
     # ---- files and log ---------------------------------------------------------------
 
+    def _listed_columns(self, keys: DataFrame) -> list[str]:
+        """Identity columns a key list has; it must have every key column."""
+        absent = [c for c in self.spec.keys if c not in keys.columns]
+        if absent:
+            raise ValueError(f"key list lacks {', '.join(absent)}")
+        return [c for c in self.spec.identity if c in keys.columns]
+
     def _unusable(self, keys_only: bool = False) -> Column:
         """Rows with no usable key or partition value."""
         parts = () if keys_only and self.spec.global_key else self.spec.partition_by
@@ -674,17 +698,19 @@ class KeyedTable:
             raise ValueError(f"{counts['bad']} rows have NULL in a key or partition column ({names})")
 
     def _stamp(self, df: DataFrame, commit_id: str) -> DataFrame:
-        seqno = F.concat(F.lit(commit_id + "_"), F.monotonically_increasing_id())
-        return df.withColumns({COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: seqno})
+        return df.withColumns({COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: F.monotonically_increasing_id()})
 
     def _version(self, layer: str, commit_id: str) -> str:
         return f"{self.root}/{layer}/_version={commit_id}"
 
-    def _write(self, df: DataFrame, layer: str, commit_id: str) -> None:
-        writer = df.write.mode("overwrite").option("compression", "snappy")
+    def _write(self, df: DataFrame, layer: str, commit_id: str, **more: Column) -> dict:
+        """Write one version folder; returns the number of rows, seen by the writing tasks."""
+        checked, seen = counted(df, **more)
+        writer = checked.write.mode("overwrite").option("compression", "snappy")
         if self.spec.partition_by:
             writer = writer.partitionBy(*self.spec.partition_by)
         writer.parquet(self._version(layer, commit_id))
+        return observed(seen)
 
     def _stored_schema(self, schema: StructType, layer: str) -> StructType:
         extra = [StructField(DELETED, BooleanType())] if layer == DELTA else []
@@ -711,65 +737,64 @@ class KeyedTable:
             if len(members) == written.get(version):
                 paths.append(self._version(layer, version))  # nothing of it was replaced
             else:
-                paths += [f"{self.root}/{_literal_path(f.path)}" for f in members]
+                paths += [f"{self.root}/{layer}/_version={_literal_path(f.path)}" for f in members]
         df = self.spark.read.schema(stored).option("basePath", f"{self.root}/{layer}").parquet(*paths)
         if located:
-            df = df.withColumn(_FILE, _relative(F.col("_metadata.file_path")))
+            df = df.withColumn(_FILE, _logged(F.col("_metadata.file_path")))
         return df.drop("_version")
 
-    def _commit(self, commit_id, layer, schema, removed: list[DataFile], is_delete=False, **header) -> int:
-        """Log a finished write: its files come from the footers, so counts cost no data scan."""
-        version = self._version(layer, commit_id)
-        stored = self._stored_schema(schema, layer)
-        written = self.spark.read.schema(stored).option("basePath", f"{self.root}/{layer}").parquet(version)
-        added = (
-            written.select(
-                _relative(F.col("_metadata.file_path")).alias("path"),
-                partition_path(self.spec.partition_by).alias("partition_path"),
-                F.col("_metadata.file_size").alias("bytes"),
-            )
-            .groupBy("path", "partition_path", "bytes")
-            .agg(F.count("*").alias("n_rows"))
-            .select(F.lit("add").alias("action"), F.lit(layer).alias("layer"), "path", "partition_path", "bytes", "n_rows")
-        )
+    def _commit(self, commit_id, layer, schema, n_rows: int, removed: list[DataFile], **header) -> None:
+        """Log a finished write.  Its files are listed by the executors; none is opened.
+
+        A version left without rows has no file worth logging (and no partition folders).
+        """
         gone = local_frame(
             self.spark,
-            [("remove", f.layer, f.path, f.partition_path, f.bytes, f.n_rows) for f in removed],
-            added.schema,
+            [("remove", f.layer, f.path, f.partition_path, f.bytes) for f in removed],
+            "action string, layer string, path string, partition_path string, bytes bigint",
         )
-        total, seen = counted(
-            added.unionByName(gone),
-            n_added=F.count_if(F.col("action") == "add"),
-            n_rows=F.sum(F.when(F.col("action") == "add", F.col("n_rows")).otherwise(0)),
+        changed = self._listing(layer, commit_id, schema).unionByName(gone) if n_rows else gone
+        files, seen = counted(changed.repartition(1), n_added=F.count_if(F.col("action") == "add"))
+        self.log.write_files(commit_id, files)
+        n_files = observed(seen).get("n_added", 0)
+        self.log.write(commit_id, n_files=n_files, table_schema=schema.json(), **header)
+
+    def _listing(self, layer: str, commit_id: str, schema: StructType) -> DataFrame:
+        """The files of one version folder."""
+        parts = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in self.spec.partition_by)
+        listing = "path string, modificationTime timestamp, length bigint, content binary"
+        written = (
+            self.spark.read.format("binaryFile")
+            .schema(f"{listing}, {parts}" if parts else listing)
+            .option("basePath", f"{self.root}/{layer}")
+            .option("pathGlobFilter", "*.parquet")
+            .load(self._version(layer, commit_id))
+        )
+        return written.select(
+            F.lit("add").alias("action"),
+            F.lit(layer).alias("layer"),
+            _logged(F.col("_metadata.file_path")).alias("path"),
+            partition_path(self.spec.partition_by).alias("partition_path"),
+            F.col("_metadata.file_size").alias("bytes"),
         )
-        files = f"{self.root}/_files/commit_id={commit_id}"
-        total.coalesce(1).write.mode("overwrite").parquet(files)
-        counts = observed(seen)
-        n_added, n_rows = counts.get("n_added", 0), counts.get("n_rows", 0)
-        if not n_added and not removed:
-            return 0
-        if "rows_inserted" not in header:
-            header.update(rows_inserted=0 if is_delete else n_rows, rows_updated=0, rows_deleted=n_rows if is_delete else 0)
-        self.log.write(commit_id, n_files=n_added, table_schema=schema.json(), **header)
-        return n_added
 
     def _live_file_rows(self, live: list[Row]) -> DataFrame:
         rows = self.log.files([r.commit_id for r in live])
         removed = rows.filter(F.col("action") == "remove").select("path")
         added = rows.filter(F.col("action") == "add").join(removed, "path", "left_anti")
-        return added.select("layer", "commit_id", "path", "partition_path", "bytes", "n_rows")
+        return added.select("layer", "commit_id", "path", "partition_path", "bytes")
 
     def _live_files(self, live: list[Row]) -> list[DataFile]:
         """The live file list: paths only, never rows of data."""
         files = [DataFile(**r.asDict()) for r in self._live_file_rows(live).collect()]
-        self._check_expired(files)
         return sorted(files, key=lambda f: f.path)
 
-    def _check_expired(self, files: list[DataFile]) -> None:
-        cleans = [r.commit_id for r in self.log.rows() if r.kind == CLEAN]
+    def _refuse_expired(self, rows: list[Row], live: list[Row]) -> None:
+        """An old version can be read only while retention has left its files in place."""
+        cleans = [r.commit_id for r in rows if r.kind == CLEAN]
         if cleans:
-            expired = {r.path for r in self.log.files(cleans).select("path").collect()}
-            if expired.intersection(f.path for f in files):
+            expired = self.log.files(cleans).filter(F.col("action") == "expire").select("path")
+            if not self._live_file_rows(live).join(expired, "path", "left_semi").isEmpty():
                 raise ValueError("this version needs files that retention has removed")
 
     def _schema(self, live: list[Row]) -> StructType:
@@ -798,8 +823,9 @@ def _nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _relative(file_path: Column) -> Column:
-    return F.regexp_extract(file_path, r"((?:base|delta)/_version=.*)$", 1)
+def _logged(file_path: Column) -> Column:
+    """A file's path below its layer's version folders, as the log names it."""
+    return F.substring_index(file_path, "/_version=", -1)
 
 
 def _literal_path(path: str) -> str:

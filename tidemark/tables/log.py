@@ -21,8 +21,7 @@ COMMIT_SCHEMA = (
     "table_schema string, commit_id string"
 )
 FILE_SCHEMA = (
-    "action string, layer string, path string, partition_path string, bytes bigint, "
-    "n_rows bigint, commit_id string"
+    "action string, layer string, path string, partition_path string, bytes bigint, commit_id string"
 )
 
 COMMIT = "commit"
@@ -56,10 +55,12 @@ class CommitLog:
         """All commit rows in commit order: one row per commit, a few hundred bytes each."""
         return sorted(self.commits().collect(), key=lambda r: r.commit_id)
 
-    def write(self, commit_id: str, files: DataFrame | None = None, **header) -> None:
-        if files is not None:
-            # an earlier attempt at this commit may have left file rows behind
-            files.coalesce(1).write.mode("overwrite").parquet(f"{self._files}/commit_id={commit_id}")
+    def write_files(self, commit_id: str, files: DataFrame) -> None:
+        """Record files; replaces what an unfinished attempt at the commit may have left."""
+        files.write.mode("overwrite").parquet(f"{self._files}/commit_id={commit_id}")
+
+    def write(self, commit_id: str, **header) -> None:
+        """Add the commit row, which makes the commit visible."""
         schema = COMMIT_SCHEMA.removesuffix(", commit_id string")
         names = [part.split()[0] for part in schema.split(", ")]
         row = local_frame(self.spark, [tuple(header.get(n) for n in names)], schema)
