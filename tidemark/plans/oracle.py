@@ -101,7 +101,7 @@ ORACLE: dict[str, str] = {
     ),
     "filter_in_list": _b(f"SELECT {_R} FROM b WHERE order_id IN (101, 202, 303)"),
     "filter_between": _b(f"SELECT {_R} FROM b WHERE order_id BETWEEN 300 AND 310"),
-    "point_lookup": _b(f"SELECT {_R} FROM b WHERE order_id = 101 AND line_id = (SELECT max(line_id) FROM b WHERE order_id = 101)"),
+    "point_lookup": _b(f"SELECT {_R} FROM b WHERE order_id = 100 AND line_id = 6"),
     "filter_null": _m(
         f"""SELECT {_R}, CAST(NULL AS BIGINT) AS new_col FROM b WHERE NOT EXISTS (
               SELECT 1 FROM u WHERE u.order_id = b.order_id AND u.line_id = b.line_id)"""

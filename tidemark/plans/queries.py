@@ -282,9 +282,8 @@ def filter_between(spark, sf):
 @query
 def point_lookup(spark, sf):
     # the raw key column carries the filter into the scan; the record key alone could not
-    orders_lines = sales.base(spark, sf, "quantity").filter(F.col("order_id") == 101).select(*R)
-    last = orders_lines.agg(F.max("line_id").alias("line_id"))
-    return orders_lines.join(last, "line_id", "left_semi").select(*R)
+    keyed = derive_keys(sales.base(spark, sf, "quantity"))
+    return keyed.filter((F.col("order_id") == 100) & (F.col("record_key") == "100#6")).select(*R)
 
 
 @query

@@ -50,9 +50,14 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def base(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """One line per key: the wanted columns, pruned before the shuffle."""
+    """One line per key: the wanted columns, pruned before the shuffle.
+
+    Keys are never NULL; saying so here gives every branch that starts from the
+    base the same scan and shuffle, so Spark runs them once and reuses them.
+    """
     wanted = [c for c in dict.fromkeys((*KEYS, *ORDER, *TIES, *columns)) if c not in PARTS]
-    return precombine(lines(spark, sf).select(*wanted), KEYS, ORDER, TIES)
+    keyed = lines(spark, sf).select(*wanted).dropna(subset=list(KEYS))
+    return precombine(keyed, KEYS, ORDER, TIES)
 
 
 def with_partitions(df: DataFrame) -> DataFrame:
