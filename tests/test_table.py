@@ -194,6 +194,7 @@ def test_merge_on_read_life_cycle(spark, root):
     want = rows(rt)
     table.schedule_compaction("4")
     table.upsert(monthly(spark, 500, 1, 7), "5")  # arrives after the request
+    assert table.log.archive(at_least=1)  # must not hide a compaction that commits under its older id
     assert [(r.commit_id, r.state) for r in table.compactions().collect()] == [("4", "requested")]
     table.compact("4")
     assert [(r.commit_id, r.state) for r in table.compactions().collect()] == [("4", "completed")]
@@ -310,6 +311,37 @@ def test_new_rows_of_a_large_partition_get_several_files(spark, root):
     assert table.snapshot().select("id").distinct().count() == 40_000
 
 
+def test_a_key_with_a_third_of_all_rows_fills_several_files(spark, root):
+    table = KeyedTable.create(spark, root, FLAT)
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint")
+    df = generated_records(spark, 0, 60_000).withColumn("sk", F.col("id")).withColumn("id", hot)
+    table.bulk_insert(df, "1", n_files=6)
+    per_file = [r.n for r in table.snapshot(metadata=True).groupBy("_file_name").agg(F.count("*").alias("n")).collect()]
+    assert len(per_file) == 6 and max(per_file) < 15_000
+    table.upsert(spark.createDataFrame([(7, 99_999, "Z")], ROW), "2")
+    assert rows(table.snapshot().filter("id = 7")) == [(7, 99_999, "Z")]
+    assert table.snapshot().count() == 40_000  # the other keys are as they were
+
+
+def test_an_archived_log_tells_the_same_history(spark, root):
+    table = KeyedTable.create(spark, root, FLAT)
+    table.insert(generated_records(spark, 0, 10), "1")
+    table.upsert(generated_records(spark, 0, 1, 5), "2")
+    table.rollback("2", "3")
+    table.upsert(generated_records(spark, 1, 1, 5), "4", query_id="q", batch_id=0)
+    before = [rows(table.commits()), rows(table.files()), rows(table.snapshot()), rows(table.snapshot(as_of="1"))]
+    assert not table.log.archive(at_least=50)
+    assert table.log.archive(at_least=1)
+    after = [rows(table.commits()), rows(table.files()), rows(table.snapshot()), rows(table.snapshot(as_of="1"))]
+    assert before == after
+    assert table.upsert(generated_records(spark, 1, 1, 6), "5", query_id="q", batch_id=0) is None
+    table.upsert(generated_records(spark, 2, 1, 5), "5")
+    assert table.log.archive(at_least=1)
+    assert table.snapshot().filter("sk = id + 5").count() == 2
+    table.rollback("5", "6")
+    assert table.snapshot().filter("sk = id + 5").count() == 1
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_random_changes_against_a_dictionary(spark, tmp_path, seed):
     rnd = random.Random(seed)

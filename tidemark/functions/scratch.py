@@ -39,3 +39,10 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.getContentSummary(target).getLength()
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; empty when there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []

@@ -258,6 +258,7 @@ class KeyedTable:
             orphans.select("layer", "path", "partition_path", "bytes")
         )
         paths = [f"{self.root}/{r.layer}/_version={unquote(r.path)}" for r in doomed.collect()]
+        self.log.archive()
         if not paths:
             return 0
         self.log.write_files(commit_id, doomed.withColumn("action", F.lit("expire")))
@@ -272,7 +273,8 @@ class KeyedTable:
         """Load rows without matching them, sorted by partition and key.
 
         With ``n_files`` the rows are range-partitioned into that many files, so each
-        file covers a key range and later lookups skip the others.
+        file covers a key range and later lookups skip the others.  A hash of the
+        row ends the range key, so a key that repeats without end fills several files.
         """
         return self._load(df, commit_id, "bulk_insert", n_files=n_files)
 
@@ -418,7 +420,7 @@ class KeyedTable:
         order = [*self.spec.partition_by, *self.spec.keys]
         stamped = self._stamp(df.select(*schema.names), commit_id)
         if n_files:
-            placed = stamped.repartitionByRange(n_files, *order)
+            placed = stamped.repartitionByRange(n_files, *order, F.xxhash64(*schema.names))
         else:
             placed = stamped.hint("rebalance", *self.spec.partition_by)
         counts = self._write(placed.sortWithinPartitions(*order), BASE, commit_id, bad=F.count_if(self._unusable()))
