@@ -44,7 +44,8 @@ def test_file_counts_over_three_upserts(spark, root):
     assert table.files().count() == 3
     out = table.snapshot()
     assert out.count() == 40_000 and out.filter("sk = id + 2").count() == 1_000
-    counts = {r.commit_id: (r.rows_inserted, r.rows_updated) for r in table.commits().filter("kind = 'commit'").collect()}
+    commits = table.commits().filter("kind = 'commit'").collect()
+    counts = {r.commit_id: (r.rows_inserted, r.rows_updated) for r in commits}
     assert counts == {"1": (40_000, 0), "2": (0, 1_000), "4": (0, 1_000), "6": (0, 1_000)}
 
 
@@ -125,7 +126,8 @@ def test_equal_order_takes_incoming_and_policies_differ_below(spark, tmp_path):
     change = spark.createDataFrame([(1, 5, "new"), (2, 4, "new"), (3, 1, "new")], ROW)
     for policy, second in (("overwrite_latest", (2, 4, "new")), (EVENT_TIME, (2, 5, "old"))):
         for storage in ("cow", MOR):
-            table = KeyedTable.create(spark, str(tmp_path / f"{policy}-{storage}"), FLAT.with_(policy=policy, storage=storage))
+            spec = FLAT.with_(policy=policy, storage=storage)
+            table = KeyedTable.create(spark, str(tmp_path / f"{policy}-{storage}"), spec)
             table.insert(stored, "1")
             table.upsert(change, "2")
             want = [(1, 5, "new"), second, (3, 1, "new")]
@@ -299,7 +301,7 @@ def test_odd_partition_values(spark, root):
     table = KeyedTable.create(spark, root, BY_P)
     values = ["a b", "x/y", "50%", "a+b", "é", "k=v", "[1]*", "{q}"]
     table.insert(spark.createDataFrame([(i, 1, "t", v) for i, v in enumerate(values)], PART), "1")
-    table.upsert(spark.createDataFrame([(i, 2, "u", v) for i, v in enumerate(values[::2])], PART).withColumn("id", F.col("id") * 2), "2")
+    table.upsert(spark.createDataFrame([(2 * i, 2, "u", v) for i, v in enumerate(values[::2])], PART), "2")
     assert rows(table.snapshot()) == [(i, 2 - i % 2, "ut"[i % 2], v) for i, v in enumerate(values)]
 
 

@@ -30,7 +30,7 @@ def write_manifest(table: KeyedTable, as_of: str | None = None, folder: str | No
     disturbed.  The executors write the files.
     """
     latest = as_of or table.log.commits().agg(F.max("commit_id")).first()[0]
-    folder = folder or f"{table.root}/_manifest/{latest}"
+    folder = folder or f"{table.root}/manifest/{latest}"
     parts = list(table.spec.partition_by)
     files = latest_files(table, as_of)
     if parts:

@@ -12,7 +12,7 @@ import json
 import math
 import re
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -39,7 +39,6 @@ from ..operators.schema import conform, widen
 from ..spec import (
     COMMIT_SEQNO,
     COMMIT_TIME,
-    COW,
     DELETE,
     EVENT_TIME,
     FILE_NAME,
@@ -92,12 +91,12 @@ class KeyedTable:
     def create(cls, spark: SparkSession, root: str, spec: TableSpec) -> "KeyedTable":
         table = cls(spark, root, spec)
         properties = local_frame(spark, [(spec.to_json(),)], "value string")
-        properties.write.mode("error").text(f"{table.root}/_properties")
+        properties.write.mode("error").text(f"{table.root}/properties")
         return table
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "KeyedTable":
-        text = spark.read.text(f"{root.rstrip('/')}/_properties").first()["value"]
+        text = spark.read.text(f"{root.rstrip('/')}/properties").first()["value"]
         return cls(spark, root, TableSpec.from_json(text))
 
     def describe(self) -> DataFrame:
@@ -196,9 +195,9 @@ class KeyedTable:
         """Compactions asked for, with their state."""
         done = self.commits().filter(F.col("kind") == COMPACTION)
         done = done.select("commit_id", "state", (F.col("rows_inserted") + F.col("rows_updated")).alias("n_rows"))
-        if not path_exists(self.spark, f"{self.root}/_requests"):
+        if not path_exists(self.spark, f"{self.root}/log/requests"):
             return done
-        asked = self.spark.read.schema("commit_id string").json(f"{self.root}/_requests")
+        asked = self.spark.read.schema("commit_id string").json(f"{self.root}/log/requests")
         waiting = asked.join(done, "commit_id", "left_anti")
         return done.unionByName(
             waiting.select("commit_id", F.lit("requested").alias("state"), F.lit(0).cast("bigint").alias("n_rows"))
@@ -376,7 +375,7 @@ class KeyedTable:
         """Ask for a compaction of the deltas committed so far."""
         commit_id = self._new_id(self.log.rows(), commit_id)
         request = local_frame(self.spark, [(commit_id,)], "commit_id string")
-        request.write.mode("append").json(f"{self.root}/_requests")
+        request.write.mode("append").json(f"{self.root}/log/requests")
         return commit_id
 
     def compact(self, commit_id: str | None = None) -> str | None:

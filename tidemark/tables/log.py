@@ -1,12 +1,12 @@
 """The commit log: two small Parquet folders beside the data.
 
-``_commits`` holds one row per commit, ``_files`` the data files each commit added
+``log/commits`` holds one row per commit, ``log/files`` the data files each added
 and removed.  A writer puts its data first, then its file rows, then its commit
 row; readers look only at files of commits that have a row, so an unfinished
 write is invisible and can simply be repeated.
 
 A stream leaves a few small log files every batch.  ``archive`` gathers the rows of
-past commits in one folder, ``_archive/upto=<commit>``; readers take the newest
+past commits in one folder, ``log/archive/upto=<commit>``; readers take the newest
 archive and the commits it does not know.
 """
 
@@ -39,9 +39,9 @@ DATA_KINDS = (COMMIT, DELTACOMMIT, COMPACTION)
 class CommitLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self._commits = f"{root}/_commits"
-        self._files = f"{root}/_files"
-        self._archive = f"{root}/_archive"
+        self._commits = f"{root}/log/commits"
+        self._files = f"{root}/log/files"
+        self._archive = f"{root}/log/archive"
 
     def _archived(self) -> str | None:
         """The commit up to which the newest complete archive reaches."""
@@ -77,7 +77,8 @@ class CommitLog:
 
         The same rows in fewer files: history, rollback and reads are not affected.
         """
-        loose = [n.removeprefix("commit_id=") for n in list_folder(self.spark, self._commits) if n.startswith("commit_id=")]
+        folders = [n for n in list_folder(self.spark, self._commits) if n.startswith("commit_id=")]
+        loose = [n.removeprefix("commit_id=") for n in folders]
         if len(loose) < at_least:
             return False
         rows = self.rows()
