@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+import random
+import re
+
+from tidemark.llm.queries import URL_RULES
+from tidemark.llm.url_filter import judge_urls
+
+
+def brute(url, rules, otherwise="allow"):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+    fits = [r for r in rules if r[0] and host and (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    best = min(fits, key=lambda r: (-len(r[0] + r[1]), -len(r[0]), r[0] + r[1], r[2]), default=None)
+    return host, path, best and best[0] + best[1], best[2] if best else otherwise
+
+
+def check(spark, urls, rules):
+    rows = [(i, u, "x", "y") for i, u in enumerate(urls)]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, rule string, part string"), rules).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == brute(urls[r.page_id], rules), urls[r.page_id]
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(1)
+    labels = ["a", "b", "ab", "a-b", "www", "é", "0", ""]
+    host = lambda n: ".".join(rng.choice(labels) for _ in range(rng.randint(1, n)))
+    path = lambda: "".join(rng.choice(["/", "/a", "/b", "b", "/ab/"]) for _ in range(rng.randint(0, 4)))
+    urls = [f"{rng.choice(['http', 'HTTPS'])}://{host(4)}{path()}{rng.choice(['', '?q=/a', '#f/b', '?x://y/'])}" for _ in range(400)]
+    rules = [(h, p, rng.choice(["allow", "block"])) for h, p in {(host(3), path()) for _ in range(60)} if h.strip(".") and ".." not in h and h[0] != "." and h[-1] != "."]
+    check(spark, urls, rules)
+
+
+def test_rules_of_the_query(spark):
+    hosts = ["example.org", "m.example.org", "EXAMPLE.org", "badexample.org", "org", "x.com", "com", "net", "a.net"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/es/", "/es", "/en/1", "/en/12?x", "/en/2", "/fr/", "/de/x", "?es/")]
+    check(spark, [*urls, None, "", "no scheme", "://", "http://", "a://b://c/d"], URL_RULES)
+
+
+def test_one_host_with_most_pages_and_no_rules(spark):
+    check(spark, ["http://hot.example.org/en/%d" % (i % 7) for i in range(500)] + ["http://cold.com/fr/"], URL_RULES)
+    check(spark, ["http://a.b/c", None], [])
+    assert judge_urls(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "http://a.com/de/1"), (1, "http://a.com/de/1"), (1, "http://a.com/de/1"), (1, None)]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert sorted((r.page_id or 0, r.verdict) for r in got) == [(0, "block"), (1, "allow"), (1, "block"), (1, "block")]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from . import licenses
+
 LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 OP9 = rf"""
@@ -28,4 +30,107 @@ SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN least_of ON doc_id = x
 """
 
-ORACLE: dict[str, str] = {"op9_superminhash": OP9}
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+
+
+OP2 = rf"""
+WITH templates(template, label, phrase, base) AS (
+  VALUES {_values((k, label, phrase, k < len(licenses.BASE)) for k, (label, phrase) in enumerate([*licenses.BASE, *licenses.NOTICES]))}
+), split AS (
+  SELECT template, label, base, string_split(phrase, ' ') AS w FROM templates
+), runs AS (
+  SELECT template, label, base, len(w) - 2 AS runs, unnest(range(0, len(w) - 2)) AS t, w FROM split
+), words AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), places AS (
+  SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM words
+), hits AS (
+  SELECT r, template, label, base, runs, t, p - 1 AS p, p - 1 - t AS d
+  FROM places a JOIN runs b ON a.w[p] = b.w[t + 1] AND a.w[p + 1] = b.w[t + 2] AND a.w[p + 2] = b.w[t + 3]
+), votes AS (
+  SELECT r, template, label, base, runs, d, list(DISTINCT t) AS ts, min(p) AS s, max(p) AS e FROM hits GROUP BY ALL
+), marked AS (
+  SELECT *, CASE WHEN base OR coalesce(d - lag(d) OVER a > 3, true) THEN 1 ELSE 0 END AS first FROM votes
+  WINDOW a AS (PARTITION BY r, template ORDER BY d)
+), numbered AS (
+  SELECT *, sum(first) OVER (PARTITION BY r, template ORDER BY d) AS span FROM marked
+), spans AS (
+  SELECT r, label, base, runs, len(list_distinct(flatten(list(ts)))) AS covered, min(s) AS s, max(e) AS e
+  FROM numbered GROUP BY r, template, label, base, runs, span
+), good AS (
+  SELECT r, label, base, covered / runs AS cover, s FROM spans
+  WHERE CASE WHEN base THEN covered = runs ELSE covered >= 0.8 * runs AND e - s + 1 <= 1.5 * runs + 3 END
+), per_doc AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    list_sort(list(DISTINCT label) FILTER (base)) AS bl, list_sort(list(DISTINCT label)) AS l, max(cover) AS score
+  FROM good GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(bl, ','), '') AS base_labels, coalesce(array_to_string(l, ','), '') AS labels, coalesce(score, 0.0) AS score
+FROM words LEFT JOIN per_doc USING (r)
+"""
+
+OP6 = r"""
+WITH RECURSIVE given AS MATERIALIZED (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+    md5('mix|' || coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(md5(text), '-')) AS k FROM documents
+), sized AS MATERIALIZED (
+  SELECT source, sum(tokens)::BIGINT AS size FROM given GROUP BY source
+), whole AS MATERIALIZED (
+  SELECT sum(size)::BIGINT AS total, list(size) FILTER (size > 0) AS sizes FROM sized
+), bisect(i, low, high) AS (
+  SELECT 0, -1::BIGINT, (1 << 24)::BIGINT
+  UNION ALL
+  SELECT i + 1, CASE WHEN good THEN low ELSE mid END, CASE WHEN good THEN mid ELSE high END FROM (
+    SELECT i, low, high, mid, ln(z) - e / z <= 0.95 * ln(len(sizes)) + 1e-9
+      AND pow(list_min(sizes) / total, x) / z * total / list_min(sizes) <= 4.0 + 1e-9 AS good FROM (
+        SELECT *, list_sum(list_transform(sizes, lambda s: pow(s / total, x))) AS z,
+          list_sum(list_transform(sizes, lambda s: pow(s / total, x) * x * ln(s / total))) AS e FROM (
+            SELECT i, low, high, (low + high) // 2 AS mid, ((low + high) // 2) / 16777216.0::DOUBLE AS x, sizes, total FROM bisect, whole
+            WHERE high - low > 1)))
+), exponent AS (
+  SELECT round(min(high) / 16777216.0::DOUBLE, 6) AS x FROM bisect
+), weighed AS (
+  SELECT source, size, CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) / sum(CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) END) OVER () ELSE 0 END AS weight, total
+  FROM sized, whole, exponent
+), goals AS (
+  SELECT *, floor(total * weight)::BIGINT AS goal, least(ceil(size / 1e6), 65536)::BIGINT AS blocks FROM weighed
+), placed AS (
+  SELECT g.*, weight, goal, size, total, floor(('0x' || substr(k, 1, 8))::BIGINT * blocks / 4294967296.0::DOUBLE)::BIGINT AS block
+  FROM given g JOIN goals s ON g.source IS NOT DISTINCT FROM s.source
+), counted AS (
+  SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE goal // size
+    + CASE WHEN sum(tokens) OVER (PARTITION BY source, tokens > 0 ORDER BY block, k) <= goal % size THEN 1 ELSE 0 END END AS repeats FROM placed
+), copies AS (
+  SELECT *, unnest(range(1, repeats + 1)) AS pass FROM counted
+), drawn AS (
+  SELECT *, md5(k || '|' || pass::VARCHAR) AS at FROM copies
+)
+SELECT doc_id, source, tokens, round(weight, 9) AS weight, repeats::BIGINT AS repeats, pass::BIGINT AS pass,
+  floor(('0x' || substr(at, 1, 8))::BIGINT * greatest(1, ceil(total / 1e6)) / 4294967296.0::DOUBLE)::BIGINT AS mix_block,
+  ('0x' || substr(at, 9, 8))::BIGINT AS mix_order
+FROM drawn
+"""
+
+OP8 = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), read AS (
+  SELECT row_number() OVER () AS r, page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), fits AS (
+  SELECT r, a.host || a.path AS rule, verdict, row_number() OVER (PARTITION BY r ORDER BY length(a.host || a.path) DESC, length(a.host) DESC) AS n
+  FROM read JOIN rules a ON (read.host = a.host OR ends_with(read.host, '.' || a.host)) AND starts_with(read.path, a.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM read LEFT JOIN fits ON read.r = fits.r AND n = 1
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_diagonal_voting": OP2,
+    "op6_temperature_mixing": OP6,
+    "op8_range_sweep": OP8,
+    "op9_superminhash": OP9,
+}
