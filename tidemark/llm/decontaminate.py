@@ -85,18 +85,17 @@ def tiles(doc: np.ndarray, item: np.ndarray, shortest: int = SHORTEST) -> list[t
                     k += 1
                 if k >= length:
                     matches.append((k, i, j))
-        again = False
-        for k, i, j in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if in_doc[i : i + k].any() or in_item[j : j + k].any():
-                again = True  # what is left of it may still be long enough
-                continue
-            in_doc[i : i + k] = in_item[j : j + k] = True
-            found.append((i, j, k))
-        if again:
-            continue
-        if length == shortest:
+        if matches:
+            # Only the longest are marked before the next look: what marks leave of others may still be long enough.
+            longest = max(matches)[0]
+            for k, i, j in sorted(m for m in matches if m[0] == longest):
+                if not in_doc[i : i + k].any() and not in_item[j : j + k].any():
+                    in_doc[i : i + k] = in_item[j : j + k] = True
+                    found.append((i, j, k))
+        elif length > shortest:
+            length = max(shortest, length // 2)
+        else:
             return sorted(found, key=lambda t: (-t[2], t[0], t[1]))
-        length = max(shortest, length // 2)
 
 
 def _probes(hashes):

@@ -25,7 +25,9 @@ from .common import mix, rows_of, stage, word_hashes
 #: average document) / LOW terms at most, however many documents there are.
 LOW, HIGH = 0.0005, 0.2
 #: Sizes of the random parts (one in so many terms), and how many there are of each.
-ONE_IN, EACH = (4, 8, 16, 32, 64, 128), 4
+ONE_IN, EACH = (8, 32, 128, 512, 2048), 8
+#: Parts of a size must give so many hashes to be compared.
+ENOUGH = 3
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Distinct terms that a task holds before it hands its counts on.
 HELD = 2_000_000
@@ -97,21 +99,30 @@ class Lexicon:
             return "x" + xxhash.xxh64_hexdigest(every.tobytes())
         out = [xxhash.xxh64_hexdigest(own.tobytes())]
         for i in range(EACH):
-            draw = mix(own + np.uint64((i + 1) * 0x632BE59BD9B4E019 & (2**64 - 1)))
+            part, draw = own, mix(own + np.uint64((i + 1) * 0x632BE59BD9B4E019 & (2**64 - 1)))
             for one_in in ONE_IN:
-                part = own[draw % np.uint64(one_in) == 0]
+                stay = (draw & np.uint64(one_in - 1)) == 0
+                part, draw = part[stay], draw[stay]
                 out.append(xxhash.xxh64_hexdigest(part.tobytes()) if len(part) else "0")
         return "-".join(out)
 
 
 def likeness(a: str, b: str) -> float:
-    """1 for equal fingerprints; else the share of equal hashes among the places where either has one."""
+    """1 for equal fingerprints; else the share of equal hashes among the places where either has one.
+
+    The share is taken for each size of parts by itself, and the best counts: the larger a document, the smaller the
+    parts that tell how much of it has changed.
+    """
     if a == b:
         return 1.0
-    pairs = [(x, y) for x, y in zip(a.split("-"), b.split("-"))]
-    if len(pairs) == 1:
-        return 0.0
-    return sum(x == y != "0" for x, y in pairs) / max(1, sum(x != "0" or y != "0" for x, y in pairs))
+    _, *one = a.split("-")
+    _, *two = b.split("-")
+    best = 0.0
+    for size in range(len(ONE_IN) if one and two else 0):
+        pairs = [(x, y) for x, y in zip(one[size :: len(ONE_IN)], two[size :: len(ONE_IN)]) if x != "0" or y != "0"]
+        if len(pairs) >= ENOUGH:
+            best = max(best, sum(x == y for x, y in pairs) / len(pairs))
+    return best
 
 
 def fingerprints(docs: DataFrame, lexicon: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

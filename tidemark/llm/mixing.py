@@ -22,9 +22,9 @@ BLOCK = 1_000_000
 MOST_BLOCKS = 65_536
 
 
-def _draw(*parts) -> F.Column:
-    """A number from 0 to 2^32 - 1 that the parts determine."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+def _number(digest, at: int = 1) -> F.Column:
+    """A number from 0 to 2^32 - 1: eight hexadecimal digits of a digest."""
+    return F.conv(F.substring(digest, at, 8), 16, 10).cast("long")
 
 
 def count_tokens(text) -> F.Column:
@@ -90,7 +90,7 @@ def _decide(
 
     same_source = F.col("source").eqNullSafe(F.col("of"))
     of = sources.withColumnRenamed("source", "of")
-    own_block = F.floor(_draw("mix_key") * F.col("blocks") / F.lit(2.0**32))
+    own_block = F.floor(_number("mix_key") * F.col("blocks") / F.lit(2.0**32))
     placed = narrow.filter("tokens > 0").join(of, same_source).select("of", "left", "mix_key", "tokens", own_block.alias("block"))
     sums = placed.groupBy("of", "left", "block").agg(F.sum("tokens").alias("tokens"))
     so_far = F.sum("tokens").over(Window.partitionBy("of").orderBy("block"))
@@ -104,7 +104,7 @@ def _decide(
     decided = of.join(ends, F.col("of").eqNullSafe(F.col("end_of")), "left").select("of", "weight", "passes", "blocks", "end_block", "end_key")
     decided = stage(decided.select(*[F.col(c).alias(f"__{c}") for c in decided.columns]), "decisions")
 
-    mine = F.floor(_draw("mix_key") * F.col("__blocks") / F.lit(2.0**32))
+    mine = F.floor(_number("mix_key") * F.col("__blocks") / F.lit(2.0**32))
     again = (mine < F.col("__end_block")) | ((mine == F.col("__end_block")) & (F.col("mix_key") <= F.coalesce("__end_key", F.lit(""))))
     repeats = F.when(F.col("tokens") == 0, F.lit(1)).otherwise(F.col("__passes") + F.coalesce(again, F.lit(False)).cast("int")).cast("long")
     rows = given.join(decided, F.col(source_col).eqNullSafe(F.col("__of")))
@@ -138,5 +138,4 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     blocks = max(1, -(-budget // block))
     rows = planned.filter("repeats > 0").withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
     place = F.md5(F.concat_ws("|", "mix_key", F.col("pass").cast("string")))
-    number = lambda at: F.conv(F.substring(place, at, 8), 16, 10).cast("long")
-    return rows.withColumns({"mix_block": F.floor(number(1) * F.lit(blocks) / F.lit(2.0**32)), "mix_order": number(9)})
+    return rows.withColumns({"mix_block": F.floor(_number(place) * F.lit(blocks) / F.lit(2.0**32)), "mix_order": _number(place, 9)})

@@ -115,7 +115,7 @@ def code_email(text: str) -> Coded | None:
 
 def code_card(text: str) -> Coded | None:
     digits = _digits(text)
-    if not 13 <= len(digits) <= 19 or digits[0] not in "3456" or luhn_check(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
+    if not 13 <= len(digits) <= 19 or digits[0] not in "23456" or luhn_check(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
         return None
     first, body = digits[0], digits[1:-1]
     return f"card/{first}", 10 ** len(body), int(body), lambda n: _refill(text, (p := first + str(n).zfill(len(body))) + luhn_check(p))
@@ -150,21 +150,36 @@ def code_ssn(text: str) -> Coded | None:
 
 
 def code_phone(text: str) -> Coded | None:
-    """North American numbers keep their plan's rules; others with a + keep their country code's first two digits."""
+    """North American numbers keep their plan's rules; others with a + keep their country code's first two digits.
+
+    Numbers that the plan doesn't allow are taken only if +1 says what they are, and stay among themselves.
+    """
     digits = _digits(text)
     if not text.startswith("+") or digits.startswith("1"):
         national = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
-        if len(national) != 10 or national[0] in "01" or national[3] in "01":
+        if len(national) != 10:
             return None
-        area, exchange, line = int(national[:3]) - 200, int(national[3:6]) - 200, int(national[6:])
+        area, exchange, line = int(national[:3]), int(national[3:6]), int(national[6:])
         lead = digits[: len(digits) - 10]
+        if area < 200 or exchange < 200:
+            if not text.startswith("+"):
+                return None
+            low = 200 * 1000  # area codes under 200 with any exchange come first, then the others with low exchanges
+            pair = area * 1000 + exchange if area < 200 else low + (area - 200) * 200 + exchange
+
+            def unplanned(n: int) -> str:
+                n, last = divmod(n, 10_000)
+                a, e = divmod(n, 1000) if n < low else divmod(n - low, 200)
+                return _refill(text, f"{lead}{a + 200 * (n >= low):03d}{e:03d}{last:04d}")
+
+            return "phone/unplanned", (low + 800 * 200) * 10_000, pair * 10_000 + line, unplanned
 
         def back(n: int) -> str:
             n, last = divmod(n, 10_000)
             a, e = divmod(n, 800)
             return _refill(text, f"{lead}{a + 200}{e + 200}{last:04d}")
 
-        return "phone", 800 * 800 * 10_000, (area * 800 + exchange) * 10_000 + line, back
+        return "phone", 800 * 800 * 10_000, ((area - 200) * 800 + exchange - 200) * 10_000 + line, back
     if not 8 <= len(digits) <= 15:
         return None
     body = digits[2:]
