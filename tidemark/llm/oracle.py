@@ -106,11 +106,11 @@ WITH RECURSIVE given AS MATERIALIZED (
 ), copies AS (
   SELECT *, unnest(range(1, repeats + 1)) AS pass FROM counted
 ), drawn AS (
-  SELECT *, md5(k || '|' || pass::VARCHAR) AS at FROM copies
+  SELECT *, md5(k || '|' || pass::VARCHAR) AS digest FROM copies
 )
 SELECT doc_id, source, tokens, round(weight, 9) AS weight, repeats::BIGINT AS repeats, pass::BIGINT AS pass,
-  floor(('0x' || substr(at, 1, 8))::BIGINT * greatest(1, ceil(total / 1e6)) / 4294967296.0::DOUBLE)::BIGINT AS mix_block,
-  ('0x' || substr(at, 9, 8))::BIGINT AS mix_order
+  floor(('0x' || substr(digest, 1, 8))::BIGINT * greatest(1, ceil(total / 1e6)) / 4294967296.0::DOUBLE)::BIGINT AS mix_block,
+  ('0x' || substr(digest, 9, 8))::BIGINT AS mix_order
 FROM drawn
 """
 
