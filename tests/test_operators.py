@@ -137,3 +137,10 @@ def test_spec_rules():
     spec = TableSpec(keys="ID", partition_by=("Year",))
     assert spec.identity == ("year", "id") and spec.with_(global_key=True).identity == ("id",)
     assert TableSpec.from_json(spec.to_json()) == spec
+
+
+def test_precombine_carries_maps(spark):
+    rows = [(1, 1, {"a": 1}), (1, 2, {"b": 2}), (2, 1, {"c": 3}), (2, 1, {"d": 4}), (3, 1, None)]
+    df = spark.createDataFrame(rows, "id long, sk long, m map<string,int>")
+    got = {r.id: (r.sk, r.m) for r in precombine(df.repartition(3), ["id"], ["sk"]).collect()}
+    assert got == {1: (2, {"b": 2}), 2: (1, {"d": 4}), 3: (1, None)}

@@ -108,3 +108,18 @@ def test_listener_reports_rows(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert ("t", "batch.rows", 7.0) in seen
+
+
+def test_files_of_one_batch_may_differ_in_columns(spark, tmp_path):
+    from tidemark.sources import read_files
+
+    one, two, three = (str(tmp_path / f"f{k}") for k in range(3))
+    spark.range(3).selectExpr("id", "id AS sk").write.parquet(one)
+    spark.range(3, 5).selectExpr("id", "id AS sk", "'x' AS new_col").write.parquet(two)
+    spark.range(5, 6).selectExpr("id", "'y' AS sk").write.parquet(three)
+    rows = read_files(spark, [one, two])
+    assert sorted((r.id, r.new_col) for r in rows.collect()) == [(0, None), (1, None), (2, None), (3, "x"), (4, "x")]
+    with pytest.raises(ValueError, match="new_col"):
+        read_files(spark, [one, two], spark.read.parquet(one).schema)
+    with pytest.raises(Exception):
+        read_files(spark, [one, three])

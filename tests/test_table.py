@@ -196,7 +196,6 @@ def test_merge_on_read_life_cycle(spark, root):
     want = rows(rt)
     table.schedule_compaction("4")
     table.upsert(monthly(spark, 500, 1, 7), "5")  # arrives after the request
-    assert table.log.archive(at_least=1)  # must not hide a compaction that commits under its older id
     assert [(r.commit_id, r.state) for r in table.compactions().collect()] == [("4", "requested")]
     table.compact("4")
     assert [(r.commit_id, r.state) for r in table.compactions().collect()] == [("4", "completed")]
@@ -325,25 +324,6 @@ def test_a_key_with_a_third_of_all_rows_fills_several_files(spark, root):
     assert table.snapshot().count() == 40_000  # the other keys are as they were
 
 
-def test_an_archived_log_tells_the_same_history(spark, root):
-    table = KeyedTable.create(spark, root, FLAT)
-    table.insert(generated_records(spark, 0, 10), "1")
-    table.upsert(generated_records(spark, 0, 1, 5), "2")
-    table.rollback("2", "3")
-    table.upsert(generated_records(spark, 1, 1, 5), "4", query_id="q", batch_id=0)
-    before = [rows(table.commits()), rows(table.files()), rows(table.snapshot()), rows(table.snapshot(as_of="1"))]
-    assert not table.log.archive(at_least=50)
-    assert table.log.archive(at_least=1)
-    after = [rows(table.commits()), rows(table.files()), rows(table.snapshot()), rows(table.snapshot(as_of="1"))]
-    assert before == after
-    assert table.upsert(generated_records(spark, 1, 1, 6), "5", query_id="q", batch_id=0) is None
-    table.upsert(generated_records(spark, 2, 1, 5), "5")
-    assert table.log.archive(at_least=1)
-    assert table.snapshot().filter("sk = id + 5").count() == 2
-    table.rollback("5", "6")
-    assert table.snapshot().filter("sk = id + 5").count() == 1
-
-
 @pytest.mark.parametrize("seed", range(3))
 def test_random_changes_against_a_dictionary(spark, tmp_path, seed):
     rnd = random.Random(seed)
@@ -369,3 +349,53 @@ def test_random_changes_against_a_dictionary(spark, tmp_path, seed):
     if storage == MOR:
         table.compact("20")
         assert rows(table.snapshot(view="ro")) == sorted(model.values())
+
+
+def test_rollback_never_brings_back_expired_files(spark, root):
+    spec = TableSpec(keys=("id",), order_by=("sk",))
+    table = KeyedTable.create(spark, root, spec)
+    table.bulk_insert(generated_records(spark, 0, 1000), "1", n_files=4)
+    table.upsert(generated_records(spark, 0, 10, 1), "2")
+    table.upsert(generated_records(spark, 0, 10, 2), "3")
+    table.clean(1, "4")
+    table.rollback("3", "5")
+    assert table.snapshot().count() == 1000
+    with pytest.raises(ValueError, match="retention"):
+        table.rollback("2", "6")
+    with pytest.raises(ValueError, match="retention"):
+        table.snapshot(as_of="1")
+    assert table.snapshot().count() == 1000
+
+
+def test_lost_data_file_raises(spark, root):
+    from pathlib import Path
+
+    table = KeyedTable.create(spark, root, TableSpec(keys=("id",), order_by=("sk",)))
+    table.bulk_insert(generated_records(spark, 0, 1000), "1", n_files=4)
+    next(Path(root).rglob("_version=1/*.parquet")).unlink()
+    with pytest.raises(FileNotFoundError):
+        table.snapshot()
+
+
+def test_automatic_id_after_a_short_one(spark, root):
+    table = KeyedTable.create(spark, root, TableSpec(keys=("id",), order_by=("sk",)))
+    table.insert(generated_records(spark, 0, 10), "9")
+    ids = [table.upsert(generated_records(spark, 0, 10, k)) for k in (1, 2)]
+    assert "9" < ids[0] < ids[1] and table.snapshot().count() == 10
+
+
+def test_merge_on_read_leaves_other_partitions_alone(spark, root):
+    spec = TableSpec(keys=("id",), order_by=("sk",), partition_by=("part",), storage=MOR)
+    table = KeyedTable.create(spark, root, spec)
+    rows = spark.range(1000).select("id", F.lit(0).alias("sk"), F.concat(F.lit("p"), F.col("id") % 5).alias("part"))
+    table.insert(rows, "1")
+    table.upsert(rows.filter("part = 'p3'").withColumn("sk", F.lit(1)), "2")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = table.snapshot(view="rt")
+        assert {tuple(r) for r in shown.groupBy("part", "sk").count().collect()} == {(f"p{k}", int(k == 3), 200) for k in range(5)}
+        plan = shown._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Union" in plan and "SortMergeJoin" in plan.split("Union", 1)[1]

@@ -1,7 +1,7 @@
 """Working folders for staged data.
 
-A cluster names a shared folder in ``spark.checkpoint.dir``; only a session
-without one (a local test) gets a temporary folder of its own.
+A cluster names a shared folder in ``spark.checkpoint.dir``; only a local session
+without one (a test) gets a temporary folder of its own; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     """A new, unused folder path below the session's shared checkpoint folder."""
     shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"name a folder that all executors share in {_SETTING}")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -41,6 +43,18 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def data_files(spark: SparkSession, path: str) -> int:
+    """How many Parquet files lie below a folder; a folder that is gone has none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return 0
+    n, files = 0, fs.listFiles(target, True)
+    while files.hasNext():
+        n += files.next().getPath().getName().endswith(".parquet")
+    return n
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when there is no such folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
 def _ranking(keys, order_by, tie_breakers) -> list[str]:
     return [c for c in dict.fromkeys((*order_by, *tie_breakers)) if c not in keys]
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
+
+
 def precombine(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,7 +35,13 @@ def precombine(
     rest = [c for c in df.columns if c not in keys and c not in ranking]
     if not ranking and not rest:
         return df.distinct()
-    newest = F.max(F.struct(*ranking, *rest)).alias("_newest")
+    unordered = [c for c in rest if _has_map(df.schema[c].dataType)]
+    if unordered:
+        # Maps have no order: they are carried along, and their text settles ties between them.
+        ranked = F.struct(*ranking, *[F.to_json(F.struct(c)).alias(c) if c in unordered else F.col(c) for c in rest])
+        newest = F.max_by(F.struct(*ranking, *rest), ranked).alias("_newest")
+    else:
+        newest = F.max(F.struct(*ranking, *rest)).alias("_newest")
     return (
         df.groupBy(*keys)
         .agg(newest)

@@ -68,12 +68,11 @@ ORACLE: dict[str, str] = {
         FROM events GROUP BY 1""",
     "json_event_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "stream_upsert": _MERGED_R,
+    "stream_added_column": _m(f"""SELECT {_R}, NULL::DOUBLE AS new_col FROM b
+           WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.order_id = b.order_id AND u.line_id = b.line_id)
+           UNION ALL SELECT {_R}, NULL FROM u UNION ALL SELECT {_R}, quantity * 2 FROM i"""),
     "stream_mor": _MERGED_R,
     "stream_replay_idempotent": _MERGED_R,
-    "generated_records": """
-        SELECT CAST(i AS BIGINT) AS id, CAST(i + 2 AS BIGINT) AS sk,
-               chr(CAST(65 + i % 26 AS INTEGER)) AS txt
-        FROM range(0, (SELECT count(*) FROM orders)) AS t(i)""",
     # sinks and writes
     "bulk_insert": "SELECT count(*) AS n, CAST(3 AS BIGINT) AS files FROM lineitem",
     "insert_overwrite": _BASE_R,
@@ -185,6 +184,9 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT '20240101000003', 'rollback', 'completed', NULL, NULL"""
     ),
     "rollback_latest": _BASE_R,
+    "rollback_after_clean": _m(f"""SELECT {_R} FROM b
+           WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.order_id = b.order_id AND u.line_id = b.line_id)
+           UNION ALL SELECT {_R} FROM u"""),
     "snapshot_as_of": _BASE_R,
     "latest_version_per_partition": _m(
         f"""SELECT partition_path, max(version) AS version FROM (

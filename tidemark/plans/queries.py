@@ -14,7 +14,7 @@ from ..metrics import commit_metrics as metrics_of
 from ..operators import counts, merge, schema
 from ..operators.precombine import precombine, precombine_window
 from ..sinks import manifest_counts, read_manifest, sync_catalog, write_manifest
-from ..sources import event_struct, file_events, full_load, generated_records, json_records, parse_events, read_files
+from ..sources import event_struct, file_events, full_load, json_records, parse_events, read_files
 from ..spec import EVENT_TIME, METADATA_COLUMNS, MOR, TableSpec
 from ..streaming import ChangeStream
 from ..tables import KeyedTable
@@ -81,7 +81,7 @@ def file_list_scan(spark, sf):
     folder = scratch_dir(spark, "files")
     for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
         rows = sales.table(spark, sf, name).select(F.col(key).alias("key"), F.lit(name).alias("source"))
-        rows.repartition(2).write.parquet(f"{folder}/{name}")
+        rows.write.parquet(f"{folder}/{name}")
     written = spark.read.parquet(f"{folder}/lineitem", f"{folder}/orders")
     # the paths travel as event messages, as the stream receives them
     messages = (
@@ -118,20 +118,14 @@ def json_event_parse(spark, sf):
     return events.select("event_id", event_struct("props", "k bigint")["k"].alias("k"))
 
 
-@query
-def generated_records_(spark, sf):
-    n = sales.table(spark, sf, "orders").count()
-    return generated_records(spark, 0, n, increment=2)
-
-
-
-def _change_events(spark, changes: DataFrame) -> str:
+def _change_events(spark, *changes: DataFrame) -> str:
     """Write change rows as Parquet files and one event message per file; returns the folder."""
     folder = scratch_dir(spark, "changes")
-    as_received = changes.withColumn("Op", F.lit("U")).withColumnsRenamed({c: c.upper() for c in changes.columns})
-    as_received.repartition(4).write.parquet(f"{folder}/data")
-    files = spark.read.parquet(f"{folder}/data").select(F.col("_metadata.file_path").alias("path")).distinct()
-    files.repartition(4, "path").select(F.to_json(F.struct("path"))).write.text(f"{folder}/events")
+    for k, rows in enumerate(changes):
+        as_received = rows.withColumn("Op", F.lit("U")).withColumnsRenamed({c: c.upper() for c in rows.columns})
+        as_received.write.parquet(f"{folder}/data/{k}")
+    files = spark.read.parquet(f"{folder}/data/*").select(F.col("_metadata.file_path").alias("path")).distinct()
+    files.repartition("path").select(F.to_json(F.struct("path"))).write.text(f"{folder}/events")
     return folder
 
 
@@ -152,6 +146,15 @@ def stream_upsert(spark, sf):
     return table.snapshot()
 
 
+@query
+def stream_added_column(spark, sf):
+    """Files with and without the new column arrive in one batch."""
+    table, updates, inserts = _loaded(spark, sf, FLAT)
+    folder = _change_events(spark, updates, inserts.withColumn("new_col", F.col("quantity") * 2))
+    _run_stream(spark, table, folder, files_per_batch=1000)
+    return table.snapshot()
+
+
 @query
 def stream_mor(spark, sf):
     table, updates, inserts = _loaded(spark, sf, FLAT.with_(storage=MOR))
@@ -485,6 +488,16 @@ def rollback_latest(spark, sf):
     return _rolled_back(spark, sf).snapshot()
 
 
+@query
+def rollback_after_clean(spark, sf):
+    table, updates, inserts = _loaded(spark, sf, FLAT)
+    table.upsert(updates, C2)
+    table.upsert(inserts, C3)
+    table.clean(1, C4)
+    table.rollback(C3, C5)
+    return table.snapshot()
+
+
 @query
 def snapshot_as_of(spark, sf):
     table = _upserted(spark, sf, FLAT)

@@ -25,10 +25,13 @@ def kafka_options(
     starting: str = "latest",
     security_protocol: str | None = None,
     group_prefix: str | None = None,
-    max_offsets: int | None = None,
+    max_offsets: int | None = 10_000,
     **more: str,
 ) -> dict[str, str]:
-    """Options of a Kafka subscription; progress is kept in the query's checkpoint."""
+    """Options of a Kafka subscription; progress is kept in the query's checkpoint.
+
+    A batch takes at most ``max_offsets`` messages, as the files they name are listed on the driver; None takes all there are.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,

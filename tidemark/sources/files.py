@@ -16,13 +16,23 @@ def full_load(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
-    """Parquet from an explicit list of files, read as one distributed scan."""
+    """Parquet from an explicit list of files, read as one distributed scan.
+
+    The files may differ in their columns: all come out, null where a file lacks one. A column of two types raises,
+    and so does one that a given ``schema`` doesn't have, as its values would be lost.
+    """
     if not paths:
         if schema is None:
             raise ValueError("an empty file list needs a schema")
         return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*paths)
+    found = spark.read.option("mergeSchema", "true").parquet(*paths)
+    if schema is None:
+        return found
+    known = {name.lower() for name in schema.names}
+    unknown = [name for name in found.columns if name.lower() not in known]
+    if unknown:
+        raise ValueError(f"the files have columns that the schema lacks: {', '.join(unknown)}")
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def json_records(

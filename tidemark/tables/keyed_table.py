@@ -23,7 +23,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from ..functions.keys import any_null, lowercase_columns, partition_path, record_key
 from ..functions.local import local_frame
-from ..functions.scratch import delete_path, path_bytes, path_exists, scratch_dir
+from ..functions.scratch import data_files, delete_path, path_bytes, path_exists, scratch_dir
 from ..operators.counts import counted, observed
 from ..operators.merge import (
     DELETED,
@@ -134,16 +134,19 @@ class KeyedTable:
         live = live_rows(rows, as_of)
         if not live:
             raise ValueError(f"{self.root} has no commit" + (f" up to {as_of}" if as_of else ""))
-        if as_of is not None:
-            self._refuse_expired(rows, live)
         view = view or ("rt" if self.spec.storage == MOR else "ro")
         schema = self._schema(live)
         files = self._live_files(live)
-        base = self._rows([f for f in files if f.layer == BASE], schema, live, BASE, metadata)
         pending = [f for f in files if f.layer == DELTA]
         if view == "rt" and pending:
+            affected, rest = self._affected(files, pending)
+            base = self._rows(affected, schema, live, BASE, metadata)
             delta = self._rows(pending, schema, live, DELTA, metadata)
             base = merge_on_read(base, delta, self.spec)
+            if rest:
+                base = base.unionByName(self._rows(rest, schema, live, BASE, metadata))
+        else:
+            base = self._rows([f for f in files if f.layer == BASE], schema, live, BASE, metadata)
         if not metadata:
             return base.select(*schema.names)
         return base.withColumns(
@@ -158,13 +161,22 @@ class KeyedTable:
         df = self._scan(files, schema, live, layer, located=named)
         return df.withColumn(FILE_NAME, F.element_at(F.split(_FILE, "/"), -1)).drop(_FILE) if named else df
 
+    def _affected(self, files: list[DataFile], pending: list[DataFile]) -> tuple[list[DataFile], list[DataFile]]:
+        """Base files whose partition has pending changes, and the others, which need no merge."""
+        base = [f for f in files if f.layer == BASE]
+        if self.spec.global_key or not self.spec.partition_by:
+            return base, []
+        hit = {f.partition_path for f in pending}
+        return [f for f in base if f.partition_path in hit], [f for f in base if f.partition_path not in hit]
+
     def pending(self, column: str) -> DataFrame:
         """Keys whose base value of a column differs from the pending one."""
         live = live_rows(self.log.rows())
         schema = self._schema(live)
         files = self._live_files(live)
-        base = self._scan([f for f in files if f.layer == BASE], schema, live, BASE)
-        delta = self._scan([f for f in files if f.layer == DELTA], schema, live, DELTA)
+        waiting = [f for f in files if f.layer == DELTA]
+        base = self._scan(self._affected(files, waiting)[0], schema, live, BASE)
+        delta = self._scan(waiting, schema, live, DELTA)
         return pending_changes(base, delta, self.spec, column)
 
     def files(self, as_of: str | None = None) -> DataFrame:
@@ -224,6 +236,7 @@ class KeyedTable:
         live = live_rows(rows)
         if not live or live[-1].commit_id != target:
             raise ValueError(f"only the latest live commit can be rolled back, not {target}")
+        self._live_files(live[:-1])  # refuses to bring back files that are gone
         commit_id = self._new_id(rows, commit_id)
         self.log.write(commit_id, kind=ROLLBACK, operation="rollback", target=target)
         return commit_id
@@ -257,7 +270,6 @@ class KeyedTable:
             orphans.select("layer", "path", "partition_path", "bytes")
         )
         paths = [f"{self.root}/{r.layer}/_version={unquote(r.path)}" for r in doomed.collect()]
-        self.log.archive()
         if not paths:
             return 0
         self.log.write_files(commit_id, doomed.withColumn("action", F.lit("expire")))
@@ -736,7 +748,11 @@ class KeyedTable:
         paths = []
         for version, members in sorted(by_version.items()):
             if len(members) == written.get(version):
-                paths.append(self._version(layer, version))  # nothing of it was replaced
+                # nothing of it was replaced, so the folder stands for its files; all of them must be there
+                folder = self._version(layer, version)
+                if data_files(self.spark, folder) < len(members):
+                    raise FileNotFoundError(f"{folder} has lost data files")
+                paths.append(folder)
             else:
                 paths += [f"{self.root}/{layer}/_version={_literal_path(f.path)}" for f in members]
         df = self.spark.read.schema(stored).option("basePath", f"{self.root}/{layer}").parquet(*paths)
@@ -787,17 +803,16 @@ class KeyedTable:
 
     def _live_files(self, live: list[Row]) -> list[DataFile]:
         """The live file list: paths only, never rows of data."""
-        files = [DataFile(**r.asDict()) for r in self._live_file_rows(live).collect()]
+        named = self._live_file_rows(live)
+        cleans = [r.commit_id for r in self.log.rows() if r.kind == CLEAN]
+        # An old version can be read, or returned to, only while retention has left its files in place.
+        expired = self.log.files(cleans).filter(F.col("action") == "expire").select("path", F.lit(True).alias("_expired"))
+        rows = named.join(expired, "path", "left").select(*named.columns, "_expired").distinct().collect()
+        if any(r["_expired"] for r in rows):
+            raise ValueError("this version needs files that retention has removed")
+        files = [DataFile(**{c: r[c] for c in named.columns}) for r in rows]
         return sorted(files, key=lambda f: f.path)
 
-    def _refuse_expired(self, rows: list[Row], live: list[Row]) -> None:
-        """An old version can be read only while retention has left its files in place."""
-        cleans = [r.commit_id for r in rows if r.kind == CLEAN]
-        if cleans:
-            expired = self.log.files(cleans).filter(F.col("action") == "expire").select("path")
-            if not self._live_file_rows(live).join(expired, "path", "left_semi").isEmpty():
-                raise ValueError("this version needs files that retention has removed")
-
     def _schema(self, live: list[Row]) -> StructType:
         if not live:
             raise ValueError(f"{self.root} has no commit")
@@ -810,6 +825,8 @@ class KeyedTable:
             commit_id = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")[: len(last) or 17]
             if commit_id <= last:
                 commit_id = str(int(last) + 1).zfill(len(last))
+            if commit_id <= last:
+                commit_id = f"{last}0"  # ids compare as text, and one of this length is not left
         if commit_id <= last:
             raise ValueError(f"commit id {commit_id} is not later than {last}")
         return commit_id

@@ -4,10 +4,6 @@
 and removed.  A writer puts its data first, then its file rows, then its commit
 row; readers look only at files of commits that have a row, so an unfinished
 write is invisible and can simply be repeated.
-
-A stream leaves a few small log files every batch.  ``archive`` gathers the rows of
-past commits in one folder, ``log/archive/upto=<commit>``; readers take the newest
-archive and the commits it does not know.
 """
 
 from __future__ import annotations
@@ -17,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ..functions.local import local_frame
-from ..functions.scratch import delete_path, list_folder, path_exists
+from ..functions.scratch import path_exists
 
 COMMIT_SCHEMA = (
     "kind string, operation string, target string, query_id string, batch_id bigint, "
@@ -41,56 +37,21 @@ class CommitLog:
         self.spark = spark
         self._commits = f"{root}/log/commits"
         self._files = f"{root}/log/files"
-        self._archive = f"{root}/log/archive"
-
-    def _archived(self) -> str | None:
-        """The commit up to which the newest complete archive reaches."""
-        done = [name for name in list_folder(self.spark, self._archive) if name.startswith("upto=")]
-        done = [n for n in done if path_exists(self.spark, f"{self._archive}/{n}/commits/_SUCCESS")]
-        return max(done).removeprefix("upto=") if done else None
 
-    def _read(self, schema: str, folder: str, kind: str) -> DataFrame:
-        upto = self._archived()
+    def _read(self, schema: str, folder: str) -> DataFrame:
         if not path_exists(self.spark, folder):
-            recent = self.spark.createDataFrame([], schema)
-        else:
-            recent = self.spark.read.schema(schema).parquet(folder)
-        if upto is None:
-            return recent
-        old = self.spark.read.schema(schema).parquet(f"{self._archive}/upto={upto}/{kind}")
-        # by id, not by order: a scheduled compaction may commit under an earlier id
-        known = self.spark.read.schema("commit_id string").parquet(f"{self._archive}/upto={upto}/commits")
-        return recent.join(known, "commit_id", "left_anti").select(*old.columns).unionByName(old)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
 
     def commits(self) -> DataFrame:
-        return self._read(COMMIT_SCHEMA, self._commits, "commits")
+        return self._read(COMMIT_SCHEMA, self._commits)
 
     def files(self, commit_ids: Iterable[str]) -> DataFrame:
         """File rows of the given commits; other commits' folders are pruned."""
         ids = list(commit_ids)
         if not ids:
             return self.spark.createDataFrame([], FILE_SCHEMA)
-        return self._read(FILE_SCHEMA, self._files, "files").filter(F.col("commit_id").isin(ids))
-
-    def archive(self, at_least: int = 50) -> bool:
-        """Gather the rows of all commits in one folder once enough have piled up.
-
-        The same rows in fewer files: history, rollback and reads are not affected.
-        """
-        folders = [n for n in list_folder(self.spark, self._commits) if n.startswith("commit_id=")]
-        loose = [n.removeprefix("commit_id=") for n in folders]
-        if len(loose) < at_least:
-            return False
-        rows = self.rows()
-        target = f"{self._archive}/upto={rows[-1].commit_id}"
-        ids = [r.commit_id for r in rows]
-        self.files(ids).repartition(1).write.mode("overwrite").parquet(f"{target}/files")
-        # the commits come last: an archive counts once they are complete
-        self.commits().repartition(1).write.mode("overwrite").parquet(f"{target}/commits")
-        for commit in loose:
-            delete_path(self.spark, f"{self._commits}/commit_id={commit}")
-            delete_path(self.spark, f"{self._files}/commit_id={commit}")
-        return True
+        return self._read(FILE_SCHEMA, self._files).filter(F.col("commit_id").isin(ids))
 
     def rows(self) -> list[Row]:
         """All commit rows in commit order: one row per commit, a few hundred bytes each."""
