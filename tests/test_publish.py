@@ -87,3 +87,11 @@ def test_manifest_of_an_unpartitioned_table(spark, root):
     table = KeyedTable.create(spark, root, FLAT)
     table.bulk_insert(generated_records(spark, 0, 30), "1", n_files=3)
     assert same(read_manifest(spark, write_manifest(table), table), table.snapshot())
+
+
+def test_partition_values_with_slashes(spark):
+    from tidemark.functions.keys import partition_path, partition_values
+
+    df = spark.createDataFrame([("a/b", "x%2Fy"), ("a", "%"), ("p=q/p=r", "")], "p string, `q.x` string").withColumnRenamed("q.x", "q")
+    back = df.select("p", "q", partition_path(["p", "q"]).alias("path")).select("p", "q", *[c.alias(f"{n}2") for c, n in zip(partition_values("path", ["p", "q"]), "pq")])
+    assert all((r.p, r.q or None) == (r.p2, r.q2) for r in back.collect())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import MOR, KeyedTable, TableSpec
 from tidemark.functions import derive_keys
-from tidemark.metrics import BatchListener
+from tidemark.metrics import BatchListener, batch_sink
 from tidemark.sources import file_events
 from tidemark.streaming import ChangeStream
 
@@ -40,8 +40,9 @@ def run(stream, spark, folder, checkpoint, per_batch=1):
 def test_files_arrive_batch_by_batch(spark, tmp_path, storage):
     table = KeyedTable.create(spark, str(tmp_path / "t"), SPEC.with_(storage=storage))
     write_change(spark, tmp_path, 1, [(1, 1, 5, "2020-01-31", "I"), (1, 2, 6, "2020-02-01", "I")])
-    done = []
-    stream = ChangeStream(table, prepare, on_commit=lambda commit, batch: done.append(batch))
+    done, sent = [], []
+    tell = batch_sink(table, "t", lambda *metric: sent.append(metric))
+    stream = ChangeStream(table, prepare, on_commit=lambda commit, batch: (done.append(batch), tell(commit, batch)))
     run(stream, spark, tmp_path, "c1")
     lookup = table.snapshot().filter("order_id = 1 AND record_key = '1#1'")
     assert [r.quantity for r in lookup.collect()] == [5]
@@ -53,7 +54,7 @@ def test_files_arrive_batch_by_batch(spark, tmp_path, storage):
     assert rows == [("1#1", 50, "2020", "1"), ("1#2", 6, "2020", "2"), ("2#1", 7, "2020", "2")]
     # the frame made earlier still reads the version it was bound to
     assert [r.quantity for r in lookup.collect()] == [5]
-    assert done == [0, 1]
+    assert done == [0, 1] and sent == [("t", "batch.records", 2.0)] * 2
     # nothing new: no batch, no commit
     run(stream, spark, tmp_path, "c1")
     assert done == [0, 1] and len({r.query_id for r in table.log.rows()}) == 1

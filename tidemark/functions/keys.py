@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections import Counter
 from collections.abc import Sequence
 
@@ -17,20 +19,28 @@ def record_key(columns: Sequence[str], separator: str = "#") -> Column:
 
 
 def partition_path(columns: Sequence[str]) -> Column:
-    """``year=2019/month=1``: Hive-style path, no zero padding, '' when unpartitioned."""
+    """``year=2019/month=1``: Hive-style path, no zero padding, '' when unpartitioned.
+
+    A slash in a value is written %2F, and a per cent sign %25, so that values can be told apart again.
+    """
     if not columns:
         return F.lit("")
     parts = []
     for i, name in enumerate(columns):
-        parts += [F.lit(("/" if i else "") + name + "="), F.col(name).cast("string")]
+        value = F.replace(F.col(name).cast("string"), F.lit("%"), F.lit("%25"))
+        parts += [F.lit(("/" if i else "") + name + "="), F.replace(value, F.lit("/"), F.lit("%2F"))]
     return F.concat(*parts)
 
 
+def _plain(value: Column) -> Column:
+    return F.replace(F.replace(value, F.lit("%2F"), F.lit("/")), F.lit("%25"), F.lit("%"))
+
+
 def partition_values(path: str | Column, columns: Sequence[str]) -> list[Column]:
     """The values behind a Hive-style partition path, one string column each."""
     path = F.col(path) if isinstance(path, str) else path
     return [
-        F.nullif(F.regexp_extract(path, f"(?:^|/){name}=([^/]*)", 1), F.lit("")).alias(name)
+        F.nullif(_plain(F.regexp_extract(path, f"(?:^|/){re.escape(name)}=([^/]*)", 1)), F.lit("")).alias(name)
         for name in columns
     ]
 

@@ -51,8 +51,18 @@ def push(df: DataFrame, sink: Sink) -> int:
     return n
 
 
+def batch_sink(table: KeyedTable, name: str, sink: Sink) -> Callable[[str, int], None]:
+    """A hook for ``ChangeStream.on_commit``: sends the number of records that the batch's files held."""
+
+    def send(commit_id: str, batch_id: int) -> None:
+        for row in table.batches().filter(F.col("commit_id") == commit_id).collect():
+            sink(name, "batch.records", float(row["rows_received"]))
+
+    return send
+
+
 class BatchListener(StreamingQueryListener):
-    """Sends the number of input rows of every micro-batch to a sink."""
+    """Sends the number of messages of every micro-batch to a sink; ``batch_sink`` counts the records they lead to."""
 
     def __init__(self, name: str, sink: Sink):
         self._name = name

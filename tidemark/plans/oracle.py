@@ -122,8 +122,7 @@ ORACLE: dict[str, str] = {
     "precombine_window": _BASE_R,
     "limit_rows": _b(f"SELECT {_R} FROM b ORDER BY order_id, line_id LIMIT 5"),
     "batch_counts": _m(
-        """SELECT CAST(year(order_date) AS VARCHAR) AS batch, count(*) AS n,
-                  CAST(1 AS BIGINT) AS n_files FROM ui GROUP BY 1"""
+        """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n FROM ui"""
     ),
     "commit_metrics": _m(
         """SELECT * FROM (

@@ -203,6 +203,10 @@ class KeyedTable:
             "rows_deleted",
         )
 
+    def batches(self) -> DataFrame:
+        """Batches that streams have committed: query_id, batch_id, commit_id and the rows each brought."""
+        return self.log.commits().filter("query_id IS NOT NULL").select("query_id", "batch_id", "commit_id", "rows_received")
+
     def compactions(self) -> DataFrame:
         """Compactions asked for, with their state."""
         done = self.commits().filter(F.col("kind") == COMPACTION)
@@ -360,6 +364,7 @@ class KeyedTable:
     ) -> str | None:
         """Keep the listed records but blank their other fields."""
         current = self.snapshot()
+        keys = lowercase_columns(keys)
         on = self._listed_columns(keys)
         rows = current.join(keys.select(*on), on, "left_semi")
         return self.upsert(rows.withColumns(blank_values(current, self.spec, values)), commit_id)
@@ -442,7 +447,7 @@ class KeyedTable:
             return None
         self._commit(
             commit_id, BASE, schema, counts["rows"], removed, kind=COMMIT, operation=operation,
-            rows_inserted=counts["rows"], rows_updated=0, rows_deleted=0,
+            rows_received=counts["rows"], rows_inserted=counts["rows"], rows_updated=0, rows_deleted=0,
         )
         return commit_id
 
@@ -481,7 +486,7 @@ class KeyedTable:
             # whether a pending row is new is not known before it meets the base
             n, gone = written["rows"], operation == "delete"
             header.update(
-                kind=DELTACOMMIT, rows_inserted=0 if gone else n, rows_updated=0, rows_deleted=n if gone else 0
+                kind=DELTACOMMIT, rows_received=counts["rows"], rows_inserted=0 if gone else n, rows_updated=0, rows_deleted=n if gone else 0
             )
             self._commit(commit_id, DELTA, schema, n, [], **header)
             return commit_id
@@ -493,6 +498,7 @@ class KeyedTable:
             if not counts["rows"]:
                 return None
             self._refuse_bad_keys(counts, None, commit_id)
+            header["rows_received"] = counts["rows"]
             flags = [StructField(DELETED, BooleanType()), StructField(FORCED, BooleanType())]
             staged = self.spark.read.schema(StructType([*schema.fields, *_META_FIELDS, *flags])).parquet(stage)
             self._merge_into_base(
