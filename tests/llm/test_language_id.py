@@ -37,7 +37,11 @@ def test_odd_rows(spark):
 
 
 def test_whole_texts_count():
-    c = Compressor({"a": b"la le li lo lu " * 300, "b": b"xa xe xi xo xu " * 300})
-    text = "la lo le " * 400
-    assert c.judge(text)[0] == "a" and c.judge(text + "xu xa xi xo " * 4000)[0] == "b"
-    assert c.judge("la le xa xe " * 500)[1] < c.judge(text)[1]
+    import random
+
+    rng = random.Random(1)
+    said = lambda vowels, n: " ".join("".join(rng.choice("lmnprst") + rng.choice(vowels) for _ in range(3)) for _ in range(n))
+    c = Compressor({"a": said("ae", 1500).encode(), "b": said("ou", 1500).encode()})
+    text = said("ae", 300)
+    assert c.judge(text)[0] == "a" and c.judge(text + said("ou", 3000))[0] == "b"
+    assert c.judge(text + said("ou", 250))[1] < c.judge(text + said("ae", 250))[1]

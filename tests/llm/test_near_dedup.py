@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm.helpers import near_copies, no_documents, odd_documents, words
 from tidemark.llm.components import components
-from tidemark.llm.near_dedup import drop_near_duplicates, near_duplicates, shingle_set, super_min_hash
+from tidemark.llm.near_dedup import drop_near_duplicates, near_duplicates, parity_sketch, shingle_set, super_min_hash
 
 
 def brute(rows, size, percent):
@@ -54,7 +54,7 @@ def test_many_hubs_are_needed(spark):
     base = words(rng, 60)
     rows = list(enumerate(near_copies(rng, base, 60, 5)))
     expected = brute(rows, 2, 80)
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string")
     for rounds in (0, 1, 2):
         assert {tuple(r) for r in near_duplicates(docs, shingle=2, hub_rounds=rounds).collect()} == expected
 
@@ -109,3 +109,12 @@ def test_rows_with_one_id_are_one_document(spark):
 def test_words_are_cut_at_white_space_only():
     assert len(shingle_set("A-b c d", 1)) == 2 and (shingle_set("A b", 2) == shingle_set("a\x0bB", 2)).all()
     assert not (shingle_set("É", 1) == shingle_set("é", 1)).all()
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for n in (1, 50, 3000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[n // 10 :], rng.integers(0, 2**63, n // 5).astype(np.uint64))))
+        bits = sum(int(x).bit_count() for x in (parity_sketch(a) ^ parity_sketch(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) and bits >= 0.6 * min(400, len(np.setxor1d(a, b)))
