@@ -21,6 +21,8 @@ from .components import components
 
 #: 40 bands of 5 slots miss a pair of similarity 0.8 with probability (1 - 0.8 ** 5) ** 40, about 1e-7.
 BANDS, ROWS = 40, 5
+#: Bits of a parity sketch.
+SKETCH = 1024
 #: Elements handled at a time; the order of visits takes one byte for each of them and slot.
 CHUNK = 65_536
 
@@ -98,12 +100,26 @@ def _signer(size: int, bands: int, rows: int):
     return sign
 
 
+def parity_sketch(elements: np.ndarray) -> np.ndarray:
+    """SKETCH bits as int64: each element flips one. Two sets' sketches differ in no more bits than the sets in elements."""
+    flips = np.bincount((elements & np.uint64(SKETCH - 1)).astype(np.intp), minlength=SKETCH) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def _set_maker(size: int):
+    longs = pa.list_(pa.int64())
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches, "doc_id", "text"):
-            sets = [shingle_set(t, size).view(np.int64) for t in texts]
+            sets = [shingle_set(t, size) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([s.view(np.int64) for s in sets], longs),
+                    pa.array([parity_sketch(s) for s in sets], longs),
+                ],
+                names=["doc_id", "digest", "shingles", "sketch"],
             )
 
     return make
@@ -118,6 +134,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * (total - both)).select("a", "b").distinct()
 
 
+def _unsettled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Entries of the buckets whose members are in several components, with their component; c1 is the bucket's largest."""
+    here = buckets.withColumn("component", F.col("rep"))
+    if found is not None:
+        here = buckets.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = here.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
+    return here.join(mixed, "key")
+
+
+def _by_rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that can reach the similarity, and few others.
+
+    Sets of n elements that are alike share one of their n - ceil(n x similarity) + 1 rarest elements, when all are
+    ordered alike. In a group of near copies the rarest elements are the edits, which few members share, so that
+    this looks at few pairs where buckets would give all. Of these the join gives only pairs whose parity sketches
+    differ in no more bits than alike sets can differ in elements, which leaves little but true links.
+    """
+    sets = sets.dropDuplicates(["doc_id", "digest"])
+    elements = sets.select("doc_id", "digest", F.explode("shingles").alias("e"))
+    counts = elements.groupBy("e").agg(F.count("*").alias("f"))
+    listed = elements.join(counts, "e").groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("es"))
+    # Integer division rounds down, so that no prefix is too short.
+    prefix = F.slice("es", F.lit(1), F.size("es") - F.expr(f"({percent} * size(es) + 99) div 100").cast("int") + 1)
+    short = listed.select("doc_id", "digest", F.size("es").alias("n"), F.transform(prefix, lambda s: s["e"]).alias("es"))
+    short = short.join(sets.select("doc_id", "digest", "component", "sketch"), ["doc_id", "digest"])
+    rare = stage(short.select("doc_id", "component", "n", "sketch", F.explode("es").alias("e")), "rarest")
+    # Two members of the largest component need no look at each other.
+    largest = rare.select("doc_id", "component").distinct().groupBy("component").count().orderBy(F.desc("count"), "component").first()["component"]
+    one = rare.filter(F.col("component") != largest)
+    other = rare.select("e", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"), F.col("sketch").alias("hub_sketch"))
+    apart = "aggregate(zip_with(sketch, hub_sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    alike = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n) AND {100 + percent} * {apart} <= {100 - percent} * (n + hub_n)"
+    pairs = one.join(other, "e").filter(f"component <> hub_component AND {alike}")
+    return pairs.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -126,7 +178,7 @@ def near_duplicates(
     rows: int = ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
-    hub_rounds: int = 2,
+    hub_rounds: int = 1,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable), kept.
 
@@ -135,9 +187,9 @@ def near_duplicates(
 
     Equal sets form a class, whose smallest id stands for it; only such representatives are banded. In each bucket
     every member is verified against one hub, its smallest id. Members that are in one component by then need no
-    further look; buckets that still span several components go through further hubs, and what is left is verified
-    pair by pair across components. So a bucket of near copies costs about one verification for each member, and
-    still no link that could join two components is skipped.
+    further look; buckets that still span several components go through further hubs. For members of those that are
+    left, pairs across components are found by their rarest shingles. So a bucket of near copies costs about one
+    verification for each member, and still no link that could join two components is skipped.
 
     Null or empty text, or text without words: n_shingles 0, linked with nothing. Rows with a null id get their
     n_shingles, a null component_id, and are kept. Rows that share an id are one document: a link of one is a link of all.
@@ -159,7 +211,7 @@ def near_duplicates(
     crowded = entries.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     buckets = stage(entries.join(crowded.select("key"), "key"), "buckets")
     involved = stage(buckets.select(F.col("rep").alias("doc_id")).distinct(), "involved")
-    sets = stage(texts.join(involved, "doc_id", "left_semi").mapInArrow(_set_maker(shingle), "doc_id long, shingles array<long>"), "sets")
+    sets = stage(texts.join(involved, "doc_id", "left_semi").mapInArrow(_set_maker(shingle), "doc_id long, digest binary, shingles array<long>, sketch array<long>"), "sets")
 
     member_of = usable.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
     split = member_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b < most")
@@ -168,34 +220,27 @@ def near_duplicates(
     similar_size = F.expr(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
     tested = None
     found = None
-    for turn in range(hub_rounds + 1):
-        here = buckets.withColumn("component", F.col("rep"))
-        if found is not None:
-            here = buckets.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        if turn:
-            mixed = here.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
-            here = stage(here.join(mixed, "key"), "mixed")
-            if here.isEmpty():
-                break
-        if turn < hub_rounds:
-            hub = here if not turn else here.filter("component = c1")
-            hub = hub.groupBy("key").agg(F.min(F.struct("rep", "n", "component")).alias("h"))
-            hub = hub.select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.component").alias("hub_component"))
-            pairs = here.join(hub, "key").filter("component <> hub_component")
-        else:
-            sizes = here.groupBy("key", "component").agg(F.count("*").alias("members"))
-            largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("l")).select("key", F.col("l.component").alias("largest"))
-            rest = here.join(largest, "key").filter("component <> largest")
-            rest = rest.select("key", F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
-            pairs = here.join(rest, "key").filter("component <> hub_component")
+    for turn in range(hub_rounds):
+        here = _unsettled(buckets, found)
+        hub = here if not turn else here.filter("component = c1")
+        hub = hub.groupBy("key").agg(F.min(F.struct("rep", "n", "component")).alias("h"))
+        hub = hub.select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.component").alias("hub_component"))
+        pairs = here.join(hub, "key").filter("component <> hub_component")
         pairs = pairs.filter(similar_size).select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        fresh = stage(_verified(pairs, sets, percent), "verified")
-        if turn < hub_rounds:
-            tested = pairs if tested is None else tested.union(pairs)
-        links = links.union(fresh)
+        tested = pairs if tested is None else tested.union(pairs)
+        links = stage(links.union(_verified(pairs, sets, percent)), "verified")
+        found = components(links)
+    if found is None:
+        found = components(links)
+    open_ = stage(_unsettled(buckets, found).select(F.col("rep").alias("doc_id"), "component").distinct(), "unsettled")
+    if not open_.isEmpty():
+        pairs = _by_rarest(sets.join(open_, "doc_id"), percent)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        links = links.union(_verified(stage(pairs, "pairs"), sets, percent))
         found = components(links)
     groups = found.filter("node <> component")
     reps = classes.select("digest", "rep").join(groups, F.col("rep") == F.col("node"), "left")
