@@ -74,6 +74,37 @@ def test_what_is_no_value_stays(text):
     assert Pseudonyms(KEY).apply(text) == (text, {}, [])
 
 
+def cards(rng, n):
+    for i in range(n):
+        body = rng.choice("23456") + "".join(rng.choice("0123456789") for _ in range(14))
+        digits = body + luhn_check(body)
+        yield digits if i % 3 == 0 else " -"[i % 3 - 1].join(digits[j : j + 4] for j in range(0, 16, 4))
+
+
+def test_values_are_found_beside_dates_codes_and_words():
+    rng = random.Random(2)
+    p = Pseudonyms(KEY)
+    for card in cards(rng, 600):
+        code = f"{rng.randrange(1000):03d}"
+        for text in (f"{card} {rng.randint(1, 12):02d}/25", f"{card} {code}", f"12/25 {card}", f"{code} {card} {code}", f"{card} 2027-05-01"):
+            new, counts, spans = p.apply(text)
+            assert counts["card"] == 1 and card not in new and p.apply(new, undo=True)[0] == text
+            assert any(card in text[s:e] for _, s, e in spans)
+    alone = [p.apply(v)[0] for v in ("BE68539007547034", "ES91 2100 0418 4502 0005 1332", "+16675554170")]
+    for value, hidden in zip(("BE68539007547034", "ES91 2100 0418 4502 0005 1332", "+16675554170"), alone):
+        for after in (" AND", " BIC", " THEN IT", " 2027") if value[0] != "+" else (" 24 hours", " 2027"):
+            assert p.apply(value + after)[0] == hidden + after and p.apply(hidden + after, undo=True)[0] == value + after
+    assert p.apply("AT61 BE68539007547034")[0] == "AT61 " + alone[0]
+    both = "BE68 5390 0754 7034 4111 1111 1111 1111"
+    assert p.apply(both)[1] == {"iban": 1, "card": 1} and p.apply(p.apply(both)[0], undo=True)[0] == both
+
+
+def test_lists_of_small_numbers_are_no_cards():
+    rng = random.Random(3)
+    text = " ; ".join(" ".join(str(rng.randint(1, 99)) for _ in range(8)) for _ in range(400))
+    assert Pseudonyms(KEY).apply(text)[1].get("card", 0) < 40
+
+
 def test_random_texts_come_back():
     rng = random.Random(1)
     p = Pseudonyms(KEY)

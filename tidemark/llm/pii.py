@@ -251,6 +251,45 @@ PATTERNS: list[tuple[str, str, Callable[[str], Coded | None]]] = [
     ("phone", r"(?<![\w.+])\+\d(?:[ .-]?\(?\d\)?){7,16}(?!\w)", code_phone),
     ("phone", r"(?<![\w.+-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", code_phone),
 ]
+#: Kinds whose patterns may run on into digits or words that follow the value.
+OPEN_ENDED = ("card", "iban", "phone")
+#: Signs of an IBAN by country.
+IBAN_SIGNS = {
+    c: n
+    for n, of in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in of.split()
+}
+
+
+#: Groups of digits in which cards are written.
+CARD_GROUPS = re.compile(r"\d{13,19}|(?:\d{4}[ -]){3}\d{1,4}|(?:\d{4}[ -]){4}\d{1,3}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13}")
+#: No value of an open-ended kind is longer, punctuation included.
+LONGEST = 80
+
+
+def _ends(kind: str, pattern: re.Pattern, text: str, start: int, longest: int, inside: bool, usual: bool) -> Iterator[int]:
+    """Where a value that starts at ``start`` may end: an IBAN at its country's length first, then the longest first.
+
+    Shorter ends lie between groups of signs. Cards are looked for in their usual groups first. In other groups, the
+    whole match may be one; shorter ends, and starts ``inside`` a match without a value, only with three digits in all groups
+    but the last, as small numbers in a row are a list.
+    """
+    if kind not in OPEN_ENDED:
+        yield longest
+        return
+    ends = [e for e in range(longest - 1, start, -1) if not text[e].isalnum() and text[e] != ")" and (text[e - 1].isalnum() or text[e - 1] == ")")]
+    ends = [longest, *(e for e in ends if pattern.fullmatch(text, start, e))]
+    if kind == "iban":
+        ends.sort(key=lambda e: len(text[start:e].replace(" ", "")) != IBAN_SIGNS.get(text[start : start + 2]))
+    for end in ends:
+        if kind != "card" or (CARD_GROUPS.fullmatch(text, start, end) if usual else end == longest and not inside or all(len(g) > 2 for g in re.split("[ -]", text[start:end])[:-1])):
+            yield end
+
+
 #: A value of any kind has one of these signs.
 SIGN = re.compile(r"[0-9@=]|ghp_|sk-")
 
@@ -265,30 +304,58 @@ class Pseudonyms:
         self.patterns = [(kind, re.compile(pattern), code) for kind, pattern, code in PATTERNS if kind in kinds]
         self._permutation = lru_cache(4096)(lambda label, size: Permutation(key, label, size))
 
-    def replace(self, kind: str, text: str, code: Callable[[str], Coded | None], undo: bool = False) -> str | None:
-        """The pseudonym, or None where the text isn't a valid value of its kind."""
+    def replace(self, kind: str, text: str, code: Callable[[str], Coded | None], undo: bool = False, fits: Callable[[str], bool] | None = None) -> str | None:
+        """The pseudonym, or None where the text isn't a valid value of its kind.
+
+        With ``fits`` it is the next one along the permutation's cycle that fits.
+        """
         coded = code(text)
         if coded is None or coded[1] < 2:
             return None
         label, size, number, back = coded
         permutation = self._permutation(label, size)
-        return back(permutation.backward(number) if undo else permutation.forward(number))
+        step = permutation.backward if undo else permutation.forward
+        new = back(number := step(number))
+        while fits and new != text and not fits(new):
+            new = back(number := step(number))
+        return new
 
     def apply(self, text: str | None, undo: bool = False) -> tuple[str | None, dict[str, int], list[tuple[str, int, int]]]:
-        """The text with pseudonyms, how many of each kind, and their spans (kind, start, end) in the text given."""
+        """The text with pseudonyms, how many of each kind, and their spans (kind, start, end) in the text given.
+
+        Where a match is no value, shorter ones from its start are tried, then those that start further on. What was tried
+        around a value must be none beside its pseudonym either, so that undoing finds the same span; a number among others
+        may so get another pseudonym than it has alone. (Two values that run into each other may still come back wrong.)
+        """
         if not text or not SIGN.search(text):
             return text, {}, []
         taken: list[tuple[int, int, str, str]] = []
         used = bytearray(len(text))
         for kind, pattern, code in self.patterns:
-            for match in pattern.finditer(text):
-                start, end = match.span()
-                if 1 in used[start:end]:
-                    continue
-                new = self.replace(kind, match[0], code, undo)
-                if new is not None:
-                    taken.append((start, end, kind, new))
-                    used[start:end] = b"\1" * (end - start)
+            failed: dict[int, list[int]] = {}
+            for usual in (True, False) if kind == "card" else (False,):
+                at, seen = 0, 0
+                while match := pattern.search(text, at):
+                    start, longest = match.span()
+                    at = start + 1
+                    for end in _ends(kind, pattern, text, start, longest, start < seen, usual):
+                        if 1 in used[start:end]:
+                            continue
+                        near = [(s, e) for s in range(start - LONGEST, end) for e in failed.get(s, ()) if e > start] if failed else []
+
+                        def fits(new: str) -> bool:
+                            beside = lambda s, e: text[s:start] + new[max(0, s - start) : e - start] + text[end:e]
+                            return not any(code(beside(s, e)) for s, e in near)
+
+                        new = self.replace(kind, text[start:end], code, undo, fits if near else None)
+                        if new is not None:
+                            taken.append((start, end, kind, new))
+                            used[start:end] = b"\1" * (end - start)
+                            at = end
+                            break
+                        if kind in OPEN_ENDED:
+                            failed.setdefault(start, []).append(end)
+                    seen = max(seen, longest)
         taken.sort()
         out, at, counts = [], 0, {}
         for start, end, kind, new in taken:
