@@ -67,6 +67,17 @@ def test_reordered_passages_are_found(spark):
         assert sum(k for *_, k in brute) == r.matched
 
 
+def test_items_that_repeat_themselves_are_found(spark):
+    rng = random.Random(3)
+    fill = lambda n: " ".join(words(rng, n, "uvwxyz"))
+    refrain = " ".join(["yes", "no", "none", "both", "neither"] * 12)
+    a, b, c = (" ".join(words(rng, 5)) for _ in range(3))
+    items = [(1, refrain), (2, " ".join([a, fill(5), b, fill(5), a, fill(5), c, fill(5)])), (3, "la " * 40)]
+    docs = [(1, f"{fill(80)} {refrain} {fill(80)}"), (2, " ".join([fill(9), a, fill(3), c, fill(3), a, fill(3), b, fill(9)])), (3, fill(20) + " la" * 60), (4, f"{fill(50)} {a} {fill(50)}")]
+    got = find_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.coverage) for r in got.collect()} == {(1, 1, 1.0), (2, 2, 0.5), (3, 3, 1.0)}
+
+
 def test_odd_rows(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (2, "word"), (3, None), (None, "un deux trois quatre cinq six sept huit")], "item_id long, text string")
     docs = odd_documents(spark)

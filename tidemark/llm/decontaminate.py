@@ -107,11 +107,11 @@ def _seed_maker(shortest: int):
         for ids, texts in rows_of(batches, "item_id", "text"):
             for item_id, text in zip(ids, texts):
                 words = words_of(text)
-                seeds = np.unique(gram_hashes(words, shortest))
+                seeds, places = np.unique(gram_hashes(words, shortest), return_counts=True)
                 probes = np.concatenate(_probes(seeds))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([item_id], pa.int64()), pa.array([text], pa.string()), pa.array([len(words)], pa.int64()), pa.array([seeds.view(np.int64)], pa.list_(pa.int64())), pa.array([probes], pa.list_(pa.int64()))],
-                    names=["item_id", "item_text", "item_words", "seeds", "probes"],
+                    [pa.array([item_id], pa.int64()), pa.array([text], pa.string()), pa.array([len(words)], pa.int64()), pa.array([seeds.view(np.int64)], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.int64())), pa.array([probes], pa.list_(pa.int64()))],
+                    names=["item_id", "item_text", "item_words", "seeds", "places", "probes"],
                 )
 
     return make
@@ -178,15 +178,16 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVE
 
     Documents are read once; only those with a hit on the filter are kept, with their text. The join of seeds is exact, and a pair is tiled
     only if its seeds could reach the coverage: a tile of k words has k + 1 - shortest seeds, a shortest-th of k at least.
+    A seed counts as often as the item has it, since an item that repeats itself has fewer seeds than places for them.
     """
     given = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = stage(given.mapInArrow(_seed_maker(shortest), "item_id long, item_text string, item_words long, seeds array<long>, probes array<long>"), "items")
+    items = stage(given.mapInArrow(_seed_maker(shortest), "item_id long, item_text string, item_words long, seeds array<long>, places array<long>, probes array<long>"), "items")
     bits = _bits(items)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hits = stage(texts.mapInArrow(_hit_finder(shortest, bits), "doc_id long, digest binary, text string, hits array<long>").dropDuplicates(["doc_id", "digest"]), "hits")
-    seeds = items.select("item_id", "item_words", F.explode("seeds").alias("seed"))
+    seeds = items.select("item_id", "item_words", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("places"))))
     shared = hits.select("doc_id", "digest", F.explode("hits").alias("seed")).join(seeds, "seed")
-    pairs = shared.groupBy("doc_id", "digest", "item_id", "item_words").agg(F.count("*").alias("n")).filter(F.col("n") * shortest >= cover * F.col("item_words"))
+    pairs = shared.groupBy("doc_id", "digest", "item_id", "item_words").agg(F.sum("places").alias("n")).filter(F.col("n") * shortest >= cover * F.col("item_words"))
     pairs = stage(pairs.select(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest"), F.col("item_id").alias("__item")), "pairs")
     both = hits.join(pairs, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("digest") == F.col("__digest")))
     both = both.join(items.select("item_id", "item_text"), F.col("__item").eqNullSafe(F.col("item_id"))).select("doc_id", "digest", "text", "item_id", "item_text")
