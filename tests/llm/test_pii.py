@@ -99,6 +99,17 @@ def test_values_are_found_beside_dates_codes_and_words():
     assert p.apply(both)[1] == {"iban": 1, "card": 1} and p.apply(p.apply(both)[0], undo=True)[0] == both
 
 
+@pytest.mark.parametrize("before", ["_", "-", "..", "+", "é", "- ", "联系", "-" * 80, "x" * 80 + "."])
+def test_addresses_after_any_sign(before):
+    p = Pseudonyms(KEY)
+    text = f"to {before}joe@x.com, and"
+    new, counts, _ = p.apply(text)
+    assert counts == {"email": 1} and "joe" not in new and p.apply(new, undo=True)[0] == text
+    if not before.startswith("x"):
+        assert new == f"to {before}{p.apply('joe@x.com')[0]}, and"
+    assert p.apply("to ._-@x.com") == ("to ._-@x.com", {}, [])
+
+
 def test_lists_of_small_numbers_are_no_cards():
     rng = random.Random(3)
     text = " ; ".join(" ".join(str(rng.randint(1, 99)) for _ in range(8)) for _ in range(400))

@@ -110,7 +110,10 @@ def _mixed(label: str, text: str, alphabets: list[str], wrap: Callable[[str], st
 
 def code_email(text: str) -> Coded | None:
     local, _, domain = text.rpartition("@")
-    return _mixed("email/" + domain.lower(), local, _classes(local), lambda s: f"{s}@{domain}")
+    # What stands before the first letter or digit of ASCII stays, and has no part in the pseudonym: it may be a bullet.
+    lead = len(re.match(r"[^A-Za-z0-9]*", local)[0])
+    before, local = local[:lead], local[lead:]
+    return _mixed("email/" + domain.lower(), local, _classes(local), lambda s: f"{before}{s}@{domain}")
 
 
 def code_card(text: str) -> Coded | None:
@@ -238,7 +241,7 @@ def code_secret(text: str) -> Coded | None:
 
 # What values look like before they are validated. The first kind that holds at a place is taken.
 PATTERNS: list[tuple[str, str, Callable[[str], Coded | None]]] = [
-    ("email", r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", code_email),
+    ("email", r"[\w.+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", code_email),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", code_secret),
     ("secret", r"(?<![A-Za-z0-9])(?:ghp_|sk-)[A-Za-z0-9]{20,}(?![A-Za-z0-9])", code_secret),
     ("secret", r"(?i:(?<=password=)|(?<=passwd=)|(?<=api_key=)|(?<=apikey=)|(?<=secret=)|(?<=token=))[A-Za-z0-9_\-+/.]{6,}(?<!\.)", code_secret),
@@ -332,6 +335,8 @@ class Pseudonyms:
         taken: list[tuple[int, int, str, str]] = []
         used = bytearray(len(text))
         for kind, pattern, code in self.patterns:
+            if kind == "email" and "@" not in text:
+                continue
             failed: dict[int, list[int]] = {}
             for usual in (True, False) if kind == "card" else (False,):
                 at, seen = 0, 0
