@@ -20,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity of 0.8: the smallest id of each group stays."""
-    return drop_near_duplicates(docs)
+    """Five-word shingles, similarity of 0.8: the smallest id of each group stays, as one row; null ids come last."""
+    return drop_near_duplicates(docs, one_row=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm.helpers import near_copies, no_documents, odd_documents, words
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import drop_near_duplicates, near_duplicates, parity_sketch, shingle_set, super_min_hash
@@ -106,6 +107,24 @@ def test_rows_with_one_id_are_one_document(spark):
     assert sorted({(r.doc_id, r.component_id) for r in got.collect()}) == [(1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(9)
+    base, other = words(rng, 80), words(rng, 80)
+    near = near_copies(rng, base, 3, 1)
+    rows = [(1, " ".join(base), "a"), (1, " ".join(base), "a"), (1, " ".join(base), "b"), (None, " ".join(base), "a"), (None, near[0], "a"), (2, near[1], "a")]
+    rows += [(None, " ".join(other), "c"), (None, " ".join(other), "c"), (None, near_copies(rng, other, 1, 1)[0], "d"), (None, " ".join(words(rng, 30)), "e")]
+    rows += [(None, None, "f"), (None, None, "f"), (None, " ", "f"), (3, None, "g"), (3, None, "g"), (3, " ".join(words(rng, 30)), "g"), (4, None, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = drop_near_duplicates(docs, one_row=True)
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert sorted((r.doc_id or -1, r.source) for r in kept if r.source not in "abcd") == [(-1, "e"), (-1, "f"), (-1, "f"), (-1, "f"), (3, "g"), (3, "g"), (4, "h")]
+    assert [r.doc_id for r in kept if r.source in "ab"] == [1] and [r.doc_id for r in kept if r.source in "cd"] == [None]
+    stage = {(r.doc_id, r.text) for r in corpus_pipeline.dedupe(spark, docs, "").collect()}
+    assert stage == {(r.doc_id, r.text) for r in kept}
+    assert drop_near_duplicates(no_documents(spark), one_row=True).count() == 0
+
+
 def test_words_are_cut_at_white_space_only():
     assert len(shingle_set("A-b c d", 1)) == 2 and (shingle_set("A b", 2) == shingle_set("a\x0bB", 2)).all()
     assert not (shingle_set("É", 1) == shingle_set("é", 1)).all()

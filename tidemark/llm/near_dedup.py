@@ -257,10 +257,34 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def _one_row_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each group, also of rows without ids, and one row for each id and text.
+
+    Numbers that stand for null ids are 2^62 or more, so that documents with ids of a usual size stay before them. Only
+    rows that occur again are shuffled with their text; of these the one with the smallest digest of all columns stays.
+    """
+    text = F.col(text_col)
+    stand_in = F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(1 << 62).bitwiseOR(F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1))))
+    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), stand_in), "__text": F.unhex(F.md5(F.coalesce(text, F.lit(""))))})
+    found = near_duplicates(keyed.select("__id", text_col), id_col="__id", text_col=text_col, **options)
+    gone = stage(found.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
+    left = keyed.join(gone, F.col("__id") == F.col("__gone"), "left_anti")
+    counts = left.filter("__id is not null").groupBy("__id", "__text").agg(F.count("*").alias("n"))
+    repeated = stage(counts.filter("n > 1").select("__id", "__text"), "repeated")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = left.join(repeated, ["__id", "__text"], "left_semi").groupBy("__id", "__text").agg(F.min_by(row, F.md5(F.to_json(row))).alias("row"))
+    return left.join(repeated, ["__id", "__text"], "left_anti").select(docs.columns).unionByName(again.select("row.*"))
+
+
+def drop_near_duplicates(docs: DataFrame, one_row: bool = False, **options) -> DataFrame:
     """The input's rows without those whose group has a smaller id; columns unchanged.
 
     Only the ids that go are joined, so the texts move only where that list is too large to broadcast.
+
+    Rows with a null id stay, and so do repeated rows. With ``one_row`` they don't: rows of a null id and a text with words
+    take part under a number that their text gives, and of rows with equal ids and texts one stays.
     """
+    if one_row:
+        return _one_row_each(docs, **options)
     gone = stage(near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
