@@ -48,6 +48,14 @@ def test_budget_equals_brute_force(spark):
         assert goal - 30 < taken <= goal
 
 
+def test_shares_as_they_are_take_every_document(spark):
+    # No exponent gives equal sources less than the full entropy, so that their shares stay.
+    for n in (49, 98, 103):
+        docs = spark.createDataFrame([(i, f"one two three {i}", f"s{i % n}") for i in range(n * 3)], "doc_id long, text string, source string")
+        assert {r.repeats for r in plan_mixture(docs).collect()} == {1}
+        assert {r.repeats for r in plan_mixture(docs, budget=n * 3 * 4 * 2).collect()} == {2}
+
+
 def test_mixture_has_every_copy(spark):
     docs = sample(spark, [60, 20, 2])
     planned = {r.doc_id: r.repeats for r in plan_mixture(docs, block=100).collect()}

@@ -83,7 +83,11 @@ def _decide(
     powers = F.pow(F.col("size") / F.lit(float(total or 1)), F.lit(exponent))
     norm = live.agg(F.sum(powers)).first()[0] or 1.0
     share = F.when(F.col("size") > 0, powers / F.lit(norm)).otherwise(F.lit(0.0))
-    sources = sources.withColumn("weight", share).withColumn("goal", F.floor(F.lit(float(budget)) * F.col("weight")))
+    goal = F.floor(F.lit(float(budget)) * F.col("weight"))
+    if exponent == 1 and total:
+        # Shares as they are: in whole numbers, as a product of doubles may fall just short of the source's own size.
+        goal = F.expr(f"cast({int(budget)} as decimal(18,0)) * cast(size as decimal(18,0)) div {total}")
+    sources = sources.withColumn("weight", share).withColumn("goal", goal)
     sources = sources.withColumn("passes", F.when(F.col("size") > 0, F.expr("goal div size")).otherwise(F.lit(1)))
     sources = sources.withColumn("left", F.when(F.col("size") > 0, F.expr("goal % size")).otherwise(F.lit(0)))
     sources = stage(sources.withColumn("blocks", F.least(F.ceil(F.col("size") / block), F.lit(MOST_BLOCKS))), "weights")
