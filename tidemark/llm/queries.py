@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, pii, quality, url_filter, warc
+from . import (
+    centroids,
+    decontaminate,
+    fingerprints,
+    language_id,
+    licenses,
+    merkle,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    url_filter,
+    warc,
+)
 from .common import table
 
 
@@ -82,6 +96,27 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(docs, fingerprints.learn_lexicon(docs))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proofs are checked on rows of which half have lost their line breaks."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    offered = [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), tampered]
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "source", "doc_id", offered)
+    proved = proved.withColumns({"proof_sha256": F.sha2(merkle.siblings(F.col("path")), 256), "folded_root": merkle.fold(F.col("offered_leaf"), F.col("path"))})
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_pseudonyms": op1_feistel_pseudonyms,
     "op2_diagonal_voting": op2_diagonal_voting,
@@ -93,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_range_sweep": op8_range_sweep,
     "op9_superminhash": op9_superminhash,
     "op10_imatch": op10_imatch,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_best_fit": op12_best_fit,
+    "op13_sharded_lloyd": op13_sharded_lloyd,
 }
