@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import pytest
+
+from tidemark.llm.centroids import cluster_vectors
+
+SCHEMA = "vec_id long, embedding array<float>, cluster int, row long, distance string, s0 int"
+
+
+def brute(rows, k, rounds, dims):
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda p: (p[0] is None, hashlib.sha256(f"1:{p[0]}".encode()).hexdigest(), p[1]))
+    centroids = [v for _, v in order[:k]]
+    nearest = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+    for _ in range(rounds):
+        of = [nearest(v)[1] for _, v in kept]
+        for j in range(len(centroids)):
+            own = [v for (_, v), c in zip(kept, of) if c == j]
+            if own:
+                centroids[j] = [sum(col) // len(own) for col in zip(*own)]
+    found = [(i, *reversed(nearest(v))) for i, v in kept]
+    inertia = [sum(d for _, c, d in found if c == j) for j in range(len(centroids))]
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, c, d, inertia[c], sum(inertia), digests[c]) for i, c, d in found), key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, 2, "x", 3) for i, v in rows], SCHEMA)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3, 7])
+def test_equals_brute_force(spark, blocks):
+    rng = random.Random(blocks)
+    rows = [(i, [float(f"{rng.uniform(-2, 2):.2f}") for _ in range(7)]) for i in range(300)]
+    rows = [(r.vec_id, r.embedding) for r in frame(spark, rows).collect()]
+    assert got(cluster_vectors(frame(spark, rows), k=5, rounds=4, dims=7, blocks=blocks)) == brute(rows, 5, 4, 7)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.5, 1.0]), (1, [0.5, 1.0]), (2, None), (3, []), (4, [1.0]), (5, [1.0, 2.0, 3.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0])]
+    rows += [(None, [0.25, 0.25]), (None, None), (9, [-0.01, -1.0]), (10, [0.0, 0.0]), (11, [0.0, 0.0]), (12, [2e6, -2e6])]
+    assert got(cluster_vectors(frame(spark, rows), k=4, dims=2)) == brute(rows, 4, 3, 2)
+    # fewer vectors than centroids, and ties between equal centroids
+    few = [(1, [0.5, 1.0]), (2, [0.5, 1.0])]
+    assert got(cluster_vectors(frame(spark, few), k=16, dims=2)) == brute(few, 16, 3, 2)
+
+
+def test_nothing_usable(spark):
+    found = cluster_vectors(frame(spark, [(1, None), (2, [1.0])]), dims=2)
+    assert found.collect() == [] and found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+def test_components_beyond_exact_distances_are_refused(spark):
+    with pytest.raises(ValueError, match="after scaling"):
+        cluster_vectors(frame(spark, [(1, [1e9, 0.0])]), dims=2)

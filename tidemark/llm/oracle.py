@@ -93,10 +93,10 @@ WITH RECURSIVE given AS MATERIALIZED (
 ), exponent AS (
   SELECT round(min(high) / 16777216.0::DOUBLE, 6) AS x FROM bisect
 ), weighed AS (
-  SELECT source, size, CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) / sum(CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) END) OVER () ELSE 0 END AS weight, total
+  SELECT source, size, CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) / sum(CASE WHEN size > 0 THEN pow(size / total::DOUBLE, x) END) OVER () ELSE 0 END AS weight, total, x
   FROM sized, whole, exponent
 ), goals AS (
-  SELECT *, floor(total * weight)::BIGINT AS goal, least(ceil(size / 1e6), 65536)::BIGINT AS blocks FROM weighed
+  SELECT *, CASE WHEN x = 1 THEN (total::HUGEINT * size // greatest(total, 1))::BIGINT ELSE floor(total * weight)::BIGINT END AS goal, least(ceil(size / 1e6), 65536)::BIGINT AS blocks FROM weighed
 ), placed AS (
   SELECT g.*, weight, goal, size, total, floor(('0x' || substr(k, 1, 8))::BIGINT * blocks / 4294967296.0::DOUBLE)::BIGINT AS block
   FROM given g JOIN goals s ON g.source IS NOT DISTINCT FROM s.source
@@ -128,9 +128,120 @@ WITH rules(host, path, verdict) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM read LEFT JOIN fits ON read.r = fits.r AND n = 1
 """
 
+OP4 = """
+WITH given AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), linked AS (
+  SELECT *, CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM given
+), found AS (
+  SELECT *, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM linked
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, payload_digest, refers_to,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN refers_to IS NULL THEN true END AS verified
+FROM found
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII digits, bit by bit."""
+    bits = "[0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]"
+    byte = f"list_reduce(list_concat([xor(c, b)], {bits}), lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda d: ascii(d)::BIGINT)), lambda c, b: {byte}), 4294967295::BIGINT)"
+
+
+#: Levels of threes that the SQL goes through; enough for 3^19 rows in a source.
+TREE_LEVELS = 19
+
+
+def _levels(prefix: str, of: str) -> str:
+    """Tables <prefix>k of the nodes of each level, with what stands left and right of a node in its run of three."""
+    out = []
+    for k in range(TREE_LEVELS + 1):
+        run = "OVER (PARTITION BY tree, rank // 3 ORDER BY rank ROWS BETWEEN"
+        source = of if not k else f"""(SELECT tree, rank // 3 AS rank, CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY rank)) ELSE min(digest) END AS digest
+    FROM {prefix}{k - 1} GROUP BY tree, rank // 3, n)"""
+        out.append(f"""{prefix}{k} AS MATERIALIZED (
+  SELECT tree, rank, digest, count(*) OVER (PARTITION BY tree) AS n,
+    coalesce(string_agg(digest, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {source}
+)""")
+    return ", ".join(out)
+
+
+def _walk(prefix: str, levels: str, of: str) -> str:
+    out = []
+    for k in range(TREE_LEVELS + 1):
+        before = of if not k else f"{prefix}{k - 1}"
+        out.append(f"""{prefix}{k} AS (
+  SELECT w.* REPLACE (w.rank // 3 AS rank, CASE WHEN n > 1 THEN sha256(l || now || r) ELSE now END AS now, CASE WHEN n > 1 THEN proof || l || r ELSE proof END AS proof)
+  FROM {before} w JOIN {levels}{k} v ON w.tree = v.tree AND w.rank = v.rank
+)""")
+    return ", ".join(out)
+
+
+OP11 = f"""
+WITH hashed AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '') AS tree,
+    sha256({_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')} || {_field('text')}) AS leaf,
+    sha256({_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')} || {_field("CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END")}) AS offered
+  FROM (SELECT *, coalesce({_crc32("doc_id::VARCHAR")} % 2 = 0, false) AS hit FROM documents)
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM hashed
+), {_levels('a', '(SELECT tree, rank, leaf AS digest FROM leaves)')}, groups AS MATERIALIZED (
+  SELECT 'all' AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS rank, digest FROM a{TREE_LEVELS}
+), {_levels('b', '(SELECT tree, rank, digest FROM groups)')}, start AS (
+  SELECT doc_id, leaf, tree, rank, offered AS now, '' AS proof FROM leaves
+), {_walk('u', 'a', 'start')}, further AS (
+  SELECT doc_id, leaf, 'all' AS tree, g.rank AS rank, now, proof, g.digest AS subroot FROM u{TREE_LEVELS} w JOIN groups g ON w.tree = g.source
+), {_walk('x', 'b', 'further')}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM x{TREE_LEVELS}, (SELECT digest AS root FROM b{TREE_LEVELS})
+"""
+
+_FLOOR = "(s - ((s % n) + n) % n) // n"
+
+
+def _rounds(n: int) -> str:
+    out = []
+    for t in range(n + 1):
+        out.append(f"""a{t} AS MATERIALIZED (
+  SELECT r, vec_id, x, j, d FROM (
+    SELECT r, vec_id, v.x, j, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{t} c
+  ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1
+)""")
+        if t < n:
+            out.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT c.j, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+    SELECT j, list(({_FLOOR})::BIGINT ORDER BY i) AS x FROM (
+      SELECT j, i, sum(y) AS s, count(*) AS n FROM (SELECT j, unnest(x) AS y, unnest(range(1, 65)) AS i FROM a{t}) GROUP BY j, i
+    ) GROUP BY j
+  ) m ON c.j = m.j
+)""")
+    return ", ".join(out)
+
+
+OP13 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda y: floor(64 * y::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: coalesce(isfinite(y), false))) = 64
+), c0 AS MATERIALIZED (
+  SELECT j, x FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, x, r) - 1 AS j, x FROM v) WHERE j < 16
+), {_rounds(3)}
+SELECT vec_id, a3.j::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a3.j))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON a3.j = c3.j
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_warc": OP4,
     "op2_diagonal_voting": OP2,
     "op6_temperature_mixing": OP6,
     "op8_range_sweep": OP8,
     "op9_superminhash": OP9,
+    "op11_merkle_manifest": OP11,
+    "op13_sharded_lloyd": OP13,
 }

@@ -9,6 +9,9 @@ need at least.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,45 +26,65 @@ from pyspark.sql import functions as F
 from ..functions.local import local_frame
 from .common import rows_of, stage
 
-#: How the byte-level vocabularies split a text before merging; words between two splits don't influence each other.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words that a task remembers the ids of, and their longest length.
-REMEMBERED, SHORT = 500_000, 64
+#: How byte-level vocabularies split a text before merging: for the regex module, and for Python's own, which is faster
+#: and takes the same pieces where a text has none of the signs that it knows under other classes.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+OTHER = frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl") or "\x1c" <= c <= "\x1f")
+#: Pieces that a task remembers the ids of, and their longest length; signs of a text that are split at a time.
+REMEMBERED, SHORT, AT_ONCE = 300_000, 48, 1_000_000
 #: Items that one task sweeps: at least and at most, where the session's shuffle partitions leave a choice.
 FEW, MANY = 2_000, 200_000
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class _Ids(dict):
-    """Ids of words as packed little-endian 32-bit numbers; what was seen before is not encoded again."""
+    """Ids of pieces as packed little-endian 32-bit numbers; what was seen before is not merged again."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        said = json.loads(self.tokenizer.to_str())
+        first = said["pre_tokenizer"] or {}
+        self.by_bytes = said["normalizer"] is None and (first.get("type"), first.get("add_prefix_space"), first.get("use_regex", True)) == ("ByteLevel", False, True)
+        self.signs, self.model, self.pieces = _byte_signs(), self.tokenizer.model, regex.compile(PIECES)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= SHORT:
+    def __missing__(self, piece: str) -> bytes:
+        ids = _packed([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.signs))])
+        if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
-            self[word] = ids
+            self[piece] = ids
         return ids
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str):
-    import regex
-
-    return regex.compile(WORDS), _Ids(path)
+_ids = lru_cache(maxsize=1)(_Ids)
 
 
 def packed_ids(text: str | None, path: str) -> bytearray:
-    """All ids of a text, four bytes each."""
-    words, ids = _encoder(path)
-    out, found = bytearray(), words.finditer(text or "")
-    while piece := [m.group() for m in islice(found, 65_536)]:
-        out += b"".join([ids[w] for w in piece])
+    """All ids of a text, four bytes each. Byte-level vocabularies are applied piece by piece, others to the whole text."""
+    ids, text = _ids(path), text or ""
+    if not ids.by_bytes:
+        return bytearray(_packed(ids.tokenizer.encode(text, add_special_tokens=False).ids))
+    pattern = USUAL if OTHER.isdisjoint(text) else ids.pieces
+    if len(text) <= AT_ONCE:
+        return bytearray(b"".join([ids[p] for p in pattern.findall(text)]))
+    out, found = bytearray(), pattern.finditer(text)
+    while some := [m[0] for m in islice(found, 65_536)]:
+        out += b"".join([ids[p] for p in some])
     return out
 
 
@@ -217,7 +240,6 @@ def best_fit(items: DataFrame, capacity: int, label: str = "packing") -> DataFra
     placed = [large.select("id", F.col("id").alias("sequence_id"), F.lit(0).alias("offset"))]
     docs = items.filter(2 * F.col("size") <= capacity).select("id", "size")
     gaps = large.filter(F.col("size") < capacity).select("id", (F.lit(capacity) - F.col("size")).cast("int").alias("size"))
-    opened = 0
     while True:
         facts = docs.agg(F.count("*").alias("n"), F.min("size").alias("least")).first()
         if not facts["n"]:
@@ -242,8 +264,8 @@ def best_fit(items: DataFrame, capacity: int, label: str = "packing") -> DataFra
         placed.append(paired.select("id", "sequence_id", (capacity - F.col("free") + F.col("taken")).cast("int").alias("offset")))
         progress = sum(r["placed"] for r in summary) + sum(covered.values())
 
-        used = paired.groupBy("sequence_id").agg(F.sum("size").alias("used"))
-        left = swept.filter("kind IN ('gap', 'small')").join(used, F.col("id") == F.col("sequence_id"), "left").drop("sequence_id")
+        used = paired.groupBy(F.col("sequence_id").alias("of")).agg(F.sum("size").alias("used"))
+        left = swept.filter("kind IN ('gap', 'small')").join(used, F.col("id") == F.col("of"), "left")
         gaps = left.select("id", (F.col("size") - F.coalesce("used", F.lit(0))).cast("int").alias("size")).filter("size > 0")
         rest = [(r["part"], covered[r["part"]], r["docs"]) for r in sorted(summary, key=lambda r: r["part"]) if r["docs"] > covered[r["part"]]]
         table = local_frame(spark, [(p, first) for p, first, _ in rest], "part int, first long")
@@ -265,7 +287,6 @@ def best_fit(items: DataFrame, capacity: int, label: str = "packing") -> DataFra
             placed.append(new.select("id", F.col("id").alias("sequence_id"), F.lit(0).alias("offset")))
             gaps = gaps.union(new.select("id", (F.lit(capacity) - F.col("size")).cast("int").alias("size")))
             docs = marked.filter("not opens")
-            opened += opens
         docs = docs.select("id", "size")
     out = placed[0]
     for more in placed[1:]:

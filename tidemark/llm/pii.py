@@ -116,7 +116,14 @@ def code_email(text: str) -> Coded | None:
     return _mixed("email/" + domain.lower(), local, _classes(local), lambda s: f"{before}{s}@{domain}")
 
 
+#: Three groups of digits in a row that may be a day of these centuries, in the order y-m-d, d-m-y or m-d-y.
+DAY = re.compile(r"(?<!\d)(?:(?:19|20)\d\d([ -])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([ -])(?:0?[1-9]|[12]\d|3[01])\2(?:19|20)\d\d)(?!\d)")
+
+
 def code_card(text: str) -> Coded | None:
+    """Numbers that pass the Luhn test; dates in a row are none, whatever their digits add up to."""
+    if DAY.search(text):
+        return None
     digits = _digits(text)
     if not 13 <= len(digits) <= 19 or digits[0] not in "23456" or luhn_check(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
         return None
@@ -310,7 +317,7 @@ class Pseudonyms:
     def replace(self, kind: str, text: str, code: Callable[[str], Coded | None], undo: bool = False, fits: Callable[[str], bool] | None = None) -> str | None:
         """The pseudonym, or None where the text isn't a valid value of its kind.
 
-        With ``fits`` it is the next one along the permutation's cycle that fits.
+        With ``fits`` it is the next one along the permutation's cycle that fits. A card's is one that reads as a card again.
         """
         coded = code(text)
         if coded is None or coded[1] < 2:
@@ -319,7 +326,7 @@ class Pseudonyms:
         permutation = self._permutation(label, size)
         step = permutation.backward if undo else permutation.forward
         new = back(number := step(number))
-        while fits and new != text and not fits(new):
+        while new != text and (kind == "card" and code(new) is None or fits and not fits(new)):
             new = back(number := step(number))
         return new
 
