@@ -23,6 +23,8 @@ from .components import components
 BANDS, ROWS = 40, 5
 #: Bits of a parity sketch.
 SKETCH = 1024
+#: Members of a group that are held against each other in one piece.
+BLOCK = 512
 #: Elements handled at a time; the order of visits takes one byte for each of them and slot.
 CHUNK = 65_536
 
@@ -126,12 +128,18 @@ def _set_maker(size: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) whose full shingle sets reach the similarity."""
+    """Those (a, b) whose full shingle sets reach the similarity.
+
+    A hub is in one pair with each of its copies. Its set is repeated for every ``BLOCK`` of them, so that they are
+    dealt to many tasks and none holds more than a block of one key.
+    """
+    degree = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = pairs.join(degree, F.col("b") == F.col("hub")).select("a", "b", F.pmod(F.xxhash64("a"), "blocks").cast("int").alias("block"))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    right = degree.join(sets, F.col("hub") == F.col("doc_id")).select(F.col("hub").alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     total = F.size("sa") + F.size("sb")
-    return pairs.join(left, "a").join(right, "b").filter(100 * both >= percent * (total - both)).select("a", "b").distinct()
+    return dealt.join(right, ["b", "block"]).join(left, "a").filter(100 * both >= percent * (total - both)).select("a", "b").distinct()
 
 
 def _unsettled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -143,31 +151,30 @@ def _unsettled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
     return here.join(mixed, "key")
 
 
-def _by_rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different components that can reach the similarity, and few others.
+def _stragglers(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components within a hub's group that can reach the similarity, and few others.
 
-    Sets of n elements that are alike share one of their n - ceil(n x similarity) + 1 rarest elements, when all are
-    ordered alike. In a group of near copies the rarest elements are the edits, which few members share, so that
-    this looks at few pairs where buckets would give all. Of these the join gives only pairs whose parity sketches
-    differ in no more bits than alike sets can differ in elements, which leaves little but true links.
+    ``groups`` has (hub, doc_id, component). Most members of a group of copies are in one component by now, and need no
+    look at each other: only the others are held against the group. Both sides are dealt to blocks, so that a large group
+    is many tasks. Of each pair the sizes and the parity sketches are looked at, which differ in no more bits than the
+    sets differ in elements; what the join gives are pairs that pass, little but true links.
     """
-    sets = sets.dropDuplicates(["doc_id", "digest"])
-    elements = sets.select("doc_id", "digest", F.explode("shingles").alias("e"))
-    counts = elements.groupBy("e").agg(F.count("*").alias("f"))
-    listed = elements.join(counts, "e").groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("es"))
-    # Integer division rounds down, so that no prefix is too short.
-    prefix = F.slice("es", F.lit(1), F.size("es") - F.expr(f"({percent} * size(es) + 99) div 100").cast("int") + 1)
-    short = listed.select("doc_id", "digest", F.size("es").alias("n"), F.transform(prefix, lambda s: s["e"]).alias("es"))
-    short = short.join(sets.select("doc_id", "digest", "component", "sketch"), ["doc_id", "digest"])
-    rare = stage(short.select("doc_id", "component", "n", "sketch", F.explode("es").alias("e")), "rarest")
-    # Two members of the largest component need no look at each other.
-    largest = rare.select("doc_id", "component").distinct().groupBy("component").count().orderBy(F.desc("count"), "component").first()["component"]
-    one = rare.filter(F.col("component") != largest)
-    other = rare.select("e", F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"), F.col("sketch").alias("hub_sketch"))
-    apart = "aggregate(zip_with(sketch, hub_sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    alike = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n) AND {100 + percent} * {apart} <= {100 - percent} * (n + hub_n)"
-    pairs = one.join(other, "e").filter(f"component <> hub_component AND {alike}")
-    return pairs.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct()
+    counts = groups.groupBy("hub", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("hub").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    main = main.filter("most < all").select("hub", "main", blocks(F.col("all")).alias("of_all"), blocks(F.col("all") - F.col("most")).alias("of_rest"))
+    words = [F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH // 64)]
+    sketched = sets.select("doc_id", F.size("shingles").alias("size"), *words)
+    here = stage(groups.join(main, "hub").join(sketched, "doc_id"), "stragglers")
+    own = F.xxhash64("doc_id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = here.filter("component <> main").withColumn("i", F.pmod(own, "of_rest").cast("int")).withColumn("j", every("of_all"))
+    whole = here.withColumn("j", F.pmod(own, "of_all").cast("int")).withColumn("i", every("of_rest"))
+    whole = whole.select("hub", "i", "j", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "component", "size", *(f"w{i}" for i in range(SKETCH // 64)))])
+    apart = " + ".join(f"bit_count(w{i} ^ _w{i})" for i in range(SKETCH // 64))
+    alike = f"100 * least(size, _size) >= {percent} * greatest(size, _size) AND {100 + percent} * ({apart}) <= {100 - percent} * (size + _size)"
+    pairs = rest.join(whole, ["hub", "i", "j"]).filter(f"component <> _component AND {alike}")
+    return pairs.select(F.greatest("doc_id", "_doc_id").alias("a"), F.least("doc_id", "_doc_id").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -187,9 +194,9 @@ def near_duplicates(
 
     Equal sets form a class, whose smallest id stands for it; only such representatives are banded. In each bucket
     every member is verified against one hub, its smallest id. Members that are in one component by then need no
-    further look; buckets that still span several components go through further hubs. For members of those that are
-    left, pairs across components are found by their rarest shingles. So a bucket of near copies costs about one
-    verification for each member, and still no link that could join two components is skipped.
+    further look; buckets that still span several components go through further hubs. Of those that are left, members
+    outside the largest component are held against the others by parity sketches, in blocks. So a bucket of near copies
+    costs about one verification for each member, and still no link that could join two components is skipped.
 
     Null or empty text, or text without words: n_shingles 0, linked with nothing. Rows with a null id get their
     n_shingles, a null component_id, and are kept. Rows that share an id are one document: a link of one is a link of all.
@@ -235,9 +242,11 @@ def near_duplicates(
         found = components(links)
     if found is None:
         found = components(links)
-    open_ = stage(_unsettled(buckets, found).select(F.col("rep").alias("doc_id"), "component").distinct(), "unsettled")
+    open_ = _unsettled(buckets, found)
+    hubs = open_.groupBy("key").agg(F.min("rep").alias("hub"))
+    open_ = stage(open_.join(hubs, "key").select("hub", F.col("rep").alias("doc_id"), "component").distinct(), "unsettled")
     if not open_.isEmpty():
-        pairs = _by_rarest(sets.join(open_, "doc_id"), percent)
+        pairs = _stragglers(open_, sets, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         links = links.union(_verified(stage(pairs, "pairs"), sets, percent))
