@@ -31,8 +31,10 @@ from .common import rows_of, stage
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 OTHER = frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl") or "\x1c" <= c <= "\x1f")
+#: Most texts have no sign that might be one of these.
+MAYBE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]")
 #: Pieces that a task remembers the ids of, and their longest length; signs of a text that are split at a time.
-REMEMBERED, SHORT, AT_ONCE = 300_000, 48, 1_000_000
+REMEMBERED, SHORT, AT_ONCE = 600_000, 48, 1_000_000
 #: Items that one task sweeps: at least and at most, where the session's shuffle partitions leave a choice.
 FEW, MANY = 2_000, 200_000
 
@@ -79,12 +81,12 @@ def packed_ids(text: str | None, path: str) -> bytearray:
     ids, text = _ids(path), text or ""
     if not ids.by_bytes:
         return bytearray(_packed(ids.tokenizer.encode(text, add_special_tokens=False).ids))
-    pattern = USUAL if OTHER.isdisjoint(text) else ids.pieces
+    pattern = ids.pieces if MAYBE.search(text) and not OTHER.isdisjoint(text) else USUAL
     if len(text) <= AT_ONCE:
-        return bytearray(b"".join([ids[p] for p in pattern.findall(text)]))
+        return bytearray(b"".join(map(ids.__getitem__, pattern.findall(text))))
     out, found = bytearray(), pattern.finditer(text)
     while some := [m[0] for m in islice(found, 65_536)]:
-        out += b"".join([ids[p] for p in some])
+        out += b"".join(map(ids.__getitem__, some))
     return out
 
 
