@@ -7,8 +7,6 @@ from tests.check_oracle import compare, oracle
 from tests.conftest import SF
 from tidemark.plans import ORACLE, QUERIES
 
-ROWS_ONLY = {"manifest_files"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -16,8 +14,7 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -36,12 +33,6 @@ def test_query_that_picks_rows(spark, name):
     assert compare(spark, oracle(larger), larger, name) is None
 
 
-def test_manifest_lists_one_file_per_partition(spark):
-    rows = entry.queries()["manifest_files"](spark, SF).collect()
-    partitions = entry.queries()["list_partitions"](spark, SF).count()
-    assert len(rows) == partitions and {r.n_files for r in rows} == {1}
-
-
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["year", "month", "n"] and df.count() > 0

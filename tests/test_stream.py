@@ -124,3 +124,17 @@ def test_files_of_one_batch_may_differ_in_columns(spark, tmp_path):
         read_files(spark, [one, two], spark.read.parquet(one).schema)
     with pytest.raises(Exception):
         read_files(spark, [one, three])
+
+
+def test_offset_ranges_lead_from_batch_to_batch(spark, tmp_path):
+    table = KeyedTable.create(spark, str(tmp_path / "t"), SPEC)
+    stream = ChangeStream(table, prepare)
+    with pytest.raises(ValueError, match="not been started"):
+        stream.offsets()
+    for n in (1, 2, 3):
+        write_change(spark, tmp_path, n, [(n, 1, 5, "2020-01-31", "I"), (n, 2, 6, "2020-02-01", "I")])
+    run(stream, spark, tmp_path, "c", per_batch=2)
+    found = stream.offsets().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.n_rows, r.rows_received) for r in found] == [(0, 2, 4), (1, 1, 2)]
+    assert found[0].start_offset is None and json.loads(found[0].end_offset) == json.loads(found[1].start_offset)
+    assert [r.commit_id for r in found] == [r.commit_id for r in table.log.rows()]

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -43,16 +44,44 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
-def data_files(spark: SparkSession, path: str) -> int:
-    """How many Parquet files lie below a folder; a folder that is gone has none."""
+def path_uri(spark: SparkSession, path: str) -> str:
+    """The full, escaped address of a path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(target):
-        return 0
-    n, files = 0, fs.listFiles(target, True)
-    while files.hasNext():
-        n += files.next().getPath().getName().endswith(".parquet")
-    return n
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+
+
+def delete_files(files: DataFrame) -> None:
+    """Remove the files that the one text column names; tasks do it, and a file that is gone already is no error.
+
+    Names are escaped addresses, as ``path_uri`` and Spark's file metadata have them.
+    """
+    column = files.columns[0]
+
+    def remove(rows: Iterator[Row]) -> None:
+        from pyarrow import fs
+
+        for row in rows:
+            scheme, _, rest = row[column].partition(":")
+            address = f"file:///{rest.lstrip('/')}" if scheme == "file" else f"{'s3' if scheme == 's3a' else scheme}:{rest}"
+            owner, path = fs.FileSystem.from_uri(address)
+            try:
+                owner.delete_file(path)
+            except FileNotFoundError:
+                pass
+
+    files.foreachPartition(remove)
+
+
+def whole_files(spark: SparkSession, most_bytes: int) -> SparkSession:
+    """A session like this one in which a scan gives each file to a task of its own, in pieces of ``most_bytes`` at most."""
+    apart = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            apart.conf.set(key, value)
+    # Opening a file counts as much as a full piece, so that no second one fits beside it.
+    apart.conf.set("spark.sql.files.maxPartitionBytes", str(most_bytes))
+    apart.conf.set("spark.sql.files.openCostInBytes", str(most_bytes))
+    return apart
 
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:

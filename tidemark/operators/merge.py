@@ -189,3 +189,24 @@ def pending_changes(base: DataFrame, delta: DataFrame, spec: TableSpec, column:
         F.col(DELETED) | ~F.col(f"old_{column}").eqNullSafe(F.col(f"new_{column}"))
     )
     return changed.unionByName(added).select(*on, f"old_{column}", f"new_{column}")
+
+
+def pending_actions(base: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
+    """How many keys the pending changes would insert, update and delete: one row, from a key-only join with the base.
+
+    A stored row that an ordering value protects is none of them, nor is a delete of a key that is not stored.
+    """
+    on = list(spec.identity)
+    wanted = [c for c in dict.fromkeys((*on, *spec.order_by, *spec.tie_breakers, COMMIT_TIME, DELETED)) if c in delta.columns]
+    latest = newest_delta(delta.select(*wanted), spec)
+    if spec.policy == EVENT_TIME:
+        latest = _not_older(base, latest, spec)
+    # a repeated stored key is one key
+    stored = base.select(*on).distinct().withColumn("_stored", F.lit(True))
+    met = latest.select(*on, DELETED).join(stored, on, "left")
+    is_stored = F.col("_stored").isNotNull()
+    return met.agg(
+        F.count_if(~F.col(DELETED) & ~is_stored).alias("n_insert"),
+        F.count_if(~F.col(DELETED) & is_stored).alias("n_update"),
+        F.count_if(F.col(DELETED) & is_stored).alias("n_delete"),
+    )

@@ -29,6 +29,8 @@ _D = _B + """,
 d AS (SELECT o_orderkey AS order_id FROM orders
       WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"""
 
+_ERASED = "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+
 _R = "order_id, line_id, quantity, order_date"
 _RP = _R + ", year, month"
 _PATH = "'year=' || year || '/month=' || month"
@@ -90,6 +92,25 @@ ORACLE: dict[str, str] = {
         "SELECT year, month, count(*) AS n FROM b GROUP BY year, month"
     ),
     "manifest_read": _MERGED_RP,
+    "manifest_files": _m("SELECT year, month, count(*) AS n FROM merged GROUP BY year, month"),
+    "manifest_text": _m("SELECT year, month, count(*) AS n FROM merged GROUP BY year, month"),
+    "catalog_realtime": _MERGED_RP,
+    "stream_offsets": _m(
+        """SELECT CAST(0 AS BIGINT) AS batch_id, CAST(NULL AS BIGINT) AS start_offset, CAST(0 AS BIGINT) AS end_offset,
+                  count(DISTINCT year(order_date)) AS n_rows, '20240101000002' AS commit_id, count(*) AS rows_received FROM ui"""
+    ),
+    "commit_metrics_mor": _m(
+        f"""SELECT * FROM (
+             SELECT '20240101000001' AS commit_id, 'insert' AS action, count(*) AS n FROM b
+             UNION ALL SELECT '20240101000004', 'insert', count(*) FROM i
+             UNION ALL SELECT '20240101000004', 'update', count(*) FROM u WHERE order_id NOT IN ({_ERASED})
+             UNION ALL SELECT '20240101000004', 'delete', count(*) FROM b WHERE order_id IN ({_ERASED}))
+           WHERE n > 0"""
+    ),
+    "pending_actions": _m(
+        f"""SELECT (SELECT count(*) FROM i) AS n_insert, (SELECT count(*) FROM u WHERE order_id NOT IN ({_ERASED})) AS n_update,
+                  (SELECT count(*) FROM b WHERE order_id IN ({_ERASED})) AS n_delete"""
+    ),
     # projections and filters
     "lowercase_columns": _l(f"SELECT {_R} FROM l"),
     "drop_metadata": _BASE_R,

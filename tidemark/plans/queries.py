@@ -13,7 +13,7 @@ from ..functions.text import metric_name, metric_table, parse_list, parse_timest
 from ..metrics import commit_metrics as metrics_of
 from ..operators import counts, merge, schema
 from ..operators.precombine import precombine, precombine_window
-from ..sinks import manifest_counts, read_manifest, sync_catalog, write_manifest
+from ..sinks import keep_synced, manifest_counts, manifest_text, read_manifest, sync_catalog, write_manifest
 from ..sources import event_struct, file_events, full_load, json_records, parse_events, read_files
 from ..spec import EVENT_TIME, METADATA_COLUMNS, MOR, TableSpec
 from ..streaming import ChangeStream
@@ -105,6 +105,16 @@ def catalog_scan(spark, sf):
     return spark.sql(f"SELECT {', '.join(RP)} FROM {name} WHERE order_id IN (101, 202, 303)")
 
 
+@query
+def catalog_realtime(spark, sf):
+    """The pending changes by name, with no sync asked for after the commit that brought them."""
+    table, updates, inserts = _loaded(spark, sf, PARTITIONED.with_(storage=MOR))
+    name = f"sales_{uuid.uuid4().hex}"
+    keep_synced(table, name)
+    table.upsert(updates.unionByName(inserts), C2)
+    return spark.sql(f"SELECT {', '.join(RP)} FROM {name}_rt")
+
+
 @query
 def json_infer_scan(spark, sf):
     folder = scratch_dir(spark, "json")
@@ -129,14 +139,15 @@ def _change_events(spark, *changes: DataFrame) -> str:
     return folder
 
 
-def _run_stream(spark, table: KeyedTable, folder: str, files_per_batch: int = 2) -> None:
-    stream = ChangeStream(table)
+def _run_stream(spark, table: KeyedTable, folder: str, files_per_batch: int = 2, **options) -> ChangeStream:
+    stream = ChangeStream(table, **options)
     running = stream.start(
         file_events(spark, f"{folder}/events", files_per_batch),
         checkpoint=scratch_dir(spark, "offsets"),
         available_now=True,
     )
     running.awaitTermination()
+    return stream
 
 
 @query
@@ -241,8 +252,22 @@ def partition_extract(spark, sf):
 
 @query
 def manifest_files(spark, sf):
+    """Rows of each partition, counted through the files that the manifest lists for it."""
+    table = _upserted(spark, sf, PARTITIONED)
+    folder = write_manifest(table)
+    listed = manifest_counts(spark, folder, PARTITIONED.partition_by).drop("n_files")
+    counted = counts.partition_counts(read_manifest(spark, folder, table))
+    return counted.join(listed, [*PARTITIONED.partition_by], "left_semi")
+
+
+@query
+def manifest_text_(spark, sf):
+    """The same, by the file names in each partition's text."""
     table = _upserted(spark, sf, PARTITIONED)
-    return manifest_counts(spark, write_manifest(table), PARTITIONED.partition_by)
+    text = manifest_text(spark, write_manifest(table), PARTITIONED.partition_by)
+    names = text.select(F.explode(F.split("files", "\n")).alias("file")).select(F.element_at(F.split("file", "/"), -1).alias("_file_name"))
+    rows = table.snapshot(metadata=True).join(names, "_file_name", "left_semi")
+    return counts.partition_counts(rows)
 
 
 @query
@@ -365,6 +390,36 @@ def commit_metrics(spark, sf):
     return metrics_of(table)
 
 
+@query
+def commit_metrics_mor(spark, sf):
+    """Pending rows are counted when a compaction has told which of them are new."""
+    table = _upserted(spark, sf, FLAT.with_(storage=MOR))
+    table.delete(table.snapshot().join(sales.erasures(spark, sf), "order_id", "left_semi").select(*KEYS), C3)
+    table.compact(C4)
+    return metrics_of(table)
+
+
+@query
+def pending_actions(spark, sf):
+    table = _upserted(spark, sf, FLAT.with_(storage=MOR))
+    table.delete(table.snapshot().join(sales.erasures(spark, sf), "order_id", "left_semi").select(*KEYS), C3)
+    return table.pending_actions()
+
+
+@query
+def stream_offsets(spark, sf):
+    """Where each batch of a stream began and ended, and the messages in between: one for each year with changes."""
+    table, updates, inserts = _loaded(spark, sf, FLAT)
+    yearly = updates.unionByName(inserts).withColumn("by_year", F.year("order_date"))
+    folder = scratch_dir(spark, "changes")
+    yearly.repartition("by_year").write.partitionBy("by_year").parquet(f"{folder}/data")
+    files = spark.read.parquet(f"{folder}/data").select(F.col("_metadata.file_path").alias("path")).distinct()
+    files.select(F.to_json(F.struct("path"))).write.text(f"{folder}/events")
+    stream = _run_stream(spark, table, folder, files_per_batch=1000, commit_id=lambda batch: str(int(C2) + batch))
+    number = lambda c: F.get_json_object(c, "$.logOffset").cast("bigint").alias(c)
+    return stream.offsets().select("batch_id", number("start_offset"), number("end_offset"), "n_rows", "commit_id", "rows_received")
+
+
 # ---- scalar functions ----------------------------------------------------------------------
 
 

@@ -14,6 +14,10 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _below_version(path: Column) -> Column:
+    return F.substring_index(path, "/_version=", -1)
+
+
 def latest_files(table: KeyedTable, as_of: str | None = None) -> DataFrame:
     """Full paths of the base files live at a commit, with their partition values."""
     files = table.files(as_of).filter("layer = 'base'")
@@ -59,10 +63,21 @@ def manifest_text(spark: SparkSession, folder: str, partition_by: Sequence[str])
 
 
 def read_manifest(spark: SparkSession, folder: str, table: KeyedTable) -> DataFrame:
-    """The rows behind a manifest.  Only its paths pass through the driver."""
+    """The rows behind a manifest: a scan of the version folders it names, semi-joined with its list of files.
+
+    To the driver come the versions, one for each commit.  A listed file that is gone raises.
+    """
     schema = table.schema()
-    paths = [r["file"] for r in manifest_entries(spark, folder, table.spec.partition_by).select("file").collect()]
-    if not paths:
+    listed = manifest_entries(spark, folder, table.spec.partition_by).select(_below_version(F.col("file")).alias("_listed"))
+    versions = sorted(r[0] for r in listed.select(F.substring_index("_listed", "/", 1)).distinct().collect())
+    if not versions:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", f"{table.root}/base")
-    return reader.parquet(*paths).select(*schema.names)
+    folders = [f"{table.root}/base/_version={v}" for v in versions]
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folders)
+    there = there.select(_decoded(_below_version(F.col("_metadata.file_path"))).alias("_there"))
+    lost = listed.join(there, F.col("_listed") == F.col("_there"), "left_anti").first()
+    if lost:
+        raise FileNotFoundError(f"{folder} lists files that are gone, {lost[0]} among them")
+    scan = spark.read.schema(schema).option("basePath", f"{table.root}/base").parquet(*folders)
+    scan = scan.withColumn("_own", _decoded(_below_version(F.col("_metadata.file_path"))))
+    return scan.join(listed, F.col("_own") == F.col("_listed"), "left_semi").select(*schema.names)

@@ -31,7 +31,8 @@ class TableSpec:
     (largest value wins); ``tie_breakers`` continue the comparison.  ``policy``
     says what happens when the stored row has the larger ordering value:
     ``overwrite_latest`` takes the incoming row anyway, ``event_time`` keeps the
-    stored one.  With ``global_key`` a key is unique over the whole table and may
+    stored one.  A replaced file larger than ``rewrite_bytes`` is written by several
+    tasks, as files of about that size.  With ``global_key`` a key is unique over the whole table and may
     move between partitions; otherwise it is unique within its partition.
     """
 
@@ -45,6 +46,7 @@ class TableSpec:
     strict_ties: bool = False
     target_file_bytes: int = 1024 * MIB
     small_file_bytes: int = 64 * MIB
+    rewrite_bytes: int = 256 * MIB
 
     def __post_init__(self):
         for name in ("keys", "order_by", "tie_breakers", "partition_by"):

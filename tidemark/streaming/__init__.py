@@ -1,3 +1,3 @@
-from .job import ChangeStream
+from .job import ChangeStream, offset_ranges
 
-__all__ = ["ChangeStream"]
+__all__ = ["ChangeStream", "offset_ranges"]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 from pyspark.sql.types import StructType
 
 from ..functions.keys import lowercase_columns
+from ..functions.local import local_frame
 from ..sources.events import parse_events
 from ..sources.files import read_files
 from ..tables import KeyedTable
@@ -17,6 +19,23 @@ from ..tables import KeyedTable
 _QUERY_ID = "sql.streaming.queryId"
 
 
+OFFSETS = "query_id string, batch_id bigint, source string, start_offset string, end_offset string, n_rows bigint"
+
+
+def offset_ranges(spark: SparkSession, progress: Iterable[StreamingQueryProgress]) -> DataFrame:
+    """What each batch took from each source: one row with the offsets it began and ended at, as the source writes them.
+
+    A first batch has no start.  Rows are those of the messages read; batches without any are left out.
+    """
+    rows = [
+        (str(p.id), p.batchId, s.description, s.startOffset, s.endOffset, s.numInputRows)
+        for p in progress
+        for s in p.sources
+        if s.numInputRows
+    ]
+    return local_frame(spark, rows, OFFSETS)
+
+
 @dataclass
 class ChangeStream:
     """Applies change files to a table as their event messages arrive.
@@ -35,6 +54,7 @@ class ChangeStream:
     file_schema: StructType | None = None
     commit_id: Callable[[int], str] | None = None
     on_commit: Callable[[str, int], None] | None = None
+    query: StreamingQuery | None = None
 
     def paths(self, batch: DataFrame) -> list[str]:
         """Files named by a batch of messages, each once.
@@ -49,16 +69,20 @@ class ChangeStream:
         return sorted(named)
 
     def changes(self, batch: DataFrame) -> DataFrame:
-        rows = lowercase_columns(read_files(batch.sparkSession, self.paths(batch), self.file_schema))
+        return self._read(batch.sparkSession, self.paths(batch))
+
+    def _read(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        rows = lowercase_columns(read_files(spark, paths, self.file_schema))
         return self.prepare(rows.drop(*self.drop))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """The foreachBatch handler: one keyed upsert per non-empty batch."""
-        if batch.isEmpty():
+        """The foreachBatch handler: one keyed upsert per non-empty batch.  The messages are read once."""
+        paths = self.paths(batch)
+        if not paths:
             return
         query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
         committed = self.table.upsert(
-            self.changes(batch),
+            self._read(batch.sparkSession, paths),
             commit_id=self.commit_id(batch_id) if self.commit_id else None,
             query_id=query_id,
             batch_id=batch_id,
@@ -76,4 +100,16 @@ class ChangeStream:
         """Run the stream; offsets live in the checkpoint and advance after the commit."""
         writer = events.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-        return writer.trigger(**trigger).start()
+        self.query = writer.trigger(**trigger).start()
+        return self.query
+
+    def offsets(self) -> DataFrame:
+        """Offset ranges of the batches this stream has run, each with the commit it led to.
+
+        Spark keeps the progress of the last batches (``spark.sql.streaming.numRecentProgressUpdates``); those of
+        longer ago are in the checkpoint only.
+        """
+        if self.query is None:
+            raise ValueError("the stream has not been started")
+        ranges = offset_ranges(self.table.spark, self.query.recentProgress)
+        return ranges.join(self.table.batches(), ["query_id", "batch_id"], "left")

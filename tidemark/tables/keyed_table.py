@@ -9,21 +9,17 @@ file in a new version folder.  One writer at a time.
 from __future__ import annotations
 
 import json
-import math
-import re
-from collections import defaultdict
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..functions.keys import any_null, lowercase_columns, partition_path, record_key
 from ..functions.local import local_frame
-from ..functions.scratch import data_files, delete_path, path_bytes, path_exists, scratch_dir
+from ..functions.scratch import delete_files, delete_path, path_bytes, path_exists, path_uri, scratch_dir, whole_files
 from ..operators.counts import counted, observed
 from ..operators.merge import (
     DELETED,
@@ -32,6 +28,7 @@ from ..operators.merge import (
     merge_on_read,
     newest_delta,
     offered_order,
+    pending_actions,
     pending_changes,
 )
 from ..operators.precombine import precombine, tied_keys
@@ -53,6 +50,7 @@ from .log import CLEAN, COMMIT, COMPACTION, DATA_KINDS, DELTACOMMIT, ROLLBACK, C
 BASE = "base"
 DELTA = "delta"
 _FILE = "_file"
+_ROW = "_row"
 _SLOT = "_slot"
 _TAG = "_tag"
 _STORED, _GONE, _CHANGED = 0, 1, 2
@@ -60,13 +58,20 @@ _STORED, _GONE, _CHANGED = 0, 1, 2
 _META_FIELDS = [StructField(COMMIT_TIME, StringType()), StructField(COMMIT_SEQNO, LongType())]
 
 
-@dataclass(frozen=True)
-class DataFile:
-    layer: str
-    commit_id: str
-    path: str
-    partition_path: str
-    bytes: int
+#: File and partition names that a plan spells out; where there are more, they are joined.
+NAMED = 2_000
+#: Touched partitions whose key ranges are looked up one by one; where there are more, neighbours share a range.
+RANGES = 32
+_REMOVED = "action string, layer string, path string, partition_path string, bytes bigint"
+
+
+@dataclass
+class _Layer:
+    """The live part of the base or of the deltas: a folder for each commit, and what in them is not to be read."""
+
+    name: str
+    folders: list[str]
+    skipped: list[str] | str  # replaced files, and files that no commit has listed; a stored list if there are many
 
 
 @dataclass
@@ -75,7 +80,6 @@ class _Matches:
 
     pairs: DataFrame | None  # keys, partition and file of each stored row to be replaced
     beaten: DataFrame | None  # keys whose stored row stays because it is newer
-    files: dict[str, int]  # file -> rows to be replaced
 
 
 class KeyedTable:
@@ -84,6 +88,8 @@ class KeyedTable:
         self.root = root.rstrip("/")
         self.spec = spec
         self.log = CommitLog(spark, self.root)
+        #: Called with the table and the commit id after each commit, rollback and clean.
+        self.hooks: list[Callable[[KeyedTable, str], None]] = []
 
     # ---- opening -------------------------------------------------------------------
 
@@ -136,17 +142,15 @@ class KeyedTable:
             raise ValueError(f"{self.root} has no commit" + (f" up to {as_of}" if as_of else ""))
         view = view or ("rt" if self.spec.storage == MOR else "ro")
         schema = self._schema(live)
-        files = self._live_files(live)
-        pending = [f for f in files if f.layer == DELTA]
-        if view == "rt" and pending:
-            affected, rest = self._affected(files, pending)
-            base = self._rows(affected, schema, live, BASE, metadata)
-            delta = self._rows(pending, schema, live, DELTA, metadata)
-            base = merge_on_read(base, delta, self.spec)
-            if rest:
-                base = base.unionByName(self._rows(rest, schema, live, BASE, metadata))
+        base_files, delta_files = self._layers(live, deltas=view == "rt")
+        if delta_files.folders:
+            behind = self._behind(live)
+            base = self._rows(base_files, schema, metadata, behind)
+            base = merge_on_read(base, self._rows(delta_files, schema, metadata), self.spec)
+            if behind is not None:
+                base = base.unionByName(self._rows(base_files, schema, metadata, ~behind))
         else:
-            base = self._rows([f for f in files if f.layer == BASE], schema, live, BASE, metadata)
+            base = self._rows(base_files, schema, metadata)
         if not metadata:
             return base.select(*schema.names)
         return base.withColumns(
@@ -157,27 +161,38 @@ class KeyedTable:
             }
         ).select(*METADATA_COLUMNS, *schema.names)
 
-    def _rows(self, files, schema, live, layer, named: bool) -> DataFrame:
-        df = self._scan(files, schema, live, layer, located=named)
+    def _rows(self, layer: _Layer, schema, named: bool, where: Column | None = None) -> DataFrame:
+        df = self._scan(layer, schema, located=named)
+        df = df if where is None else df.filter(where)
         return df.withColumn(FILE_NAME, F.element_at(F.split(_FILE, "/"), -1)).drop(_FILE) if named else df
 
-    def _affected(self, files: list[DataFile], pending: list[DataFile]) -> tuple[list[DataFile], list[DataFile]]:
-        """Base files whose partition has pending changes, and the others, which need no merge."""
-        base = [f for f in files if f.layer == BASE]
+    def _behind(self, live: list[Row]) -> Column | None:
+        """Whether a row's partition has pending changes; None where that leaves out nothing."""
         if self.spec.global_key or not self.spec.partition_by:
-            return base, []
-        hit = {f.partition_path for f in pending}
-        return [f for f in base if f.partition_path in hit], [f for f in base if f.partition_path not in hit]
+            return None
+        pending = self._live_file_rows(live).filter(F.col("layer") == DELTA).select("partition_path").distinct()
+        hit = [r[0] for r in pending.limit(NAMED + 1).collect()]
+        return partition_path(self.spec.partition_by).isin(hit) if len(hit) <= NAMED else None
 
     def pending(self, column: str) -> DataFrame:
         """Keys whose base value of a column differs from the pending one."""
+        base, delta, _ = self._base_and_deltas()
+        return pending_changes(base, delta, self.spec, column)
+
+    def pending_actions(self) -> DataFrame:
+        """What a compaction would do now: the number of keys to insert, update and delete.
+
+        Only key and ordering columns are read.
+        """
+        base, delta, _ = self._base_and_deltas()
+        return pending_actions(base, delta, self.spec)
+
+    def _base_and_deltas(self) -> tuple[DataFrame, DataFrame, list[Row]]:
         live = live_rows(self.log.rows())
         schema = self._schema(live)
-        files = self._live_files(live)
-        waiting = [f for f in files if f.layer == DELTA]
-        base = self._scan(self._affected(files, waiting)[0], schema, live, BASE)
-        delta = self._scan(waiting, schema, live, DELTA)
-        return pending_changes(base, delta, self.spec, column)
+        base_files, delta_files = self._layers(live)
+        base, behind = self._scan(base_files, schema), self._behind(live)
+        return base if behind is None else base.filter(behind), self._scan(delta_files, schema), live
 
     def files(self, as_of: str | None = None) -> DataFrame:
         """Live data files: layer, commit_id, path, partition_path, bytes."""
@@ -201,6 +216,7 @@ class KeyedTable:
             "rows_inserted",
             "rows_updated",
             "rows_deleted",
+            "rows_pending",
         )
 
     def batches(self) -> DataFrame:
@@ -240,9 +256,10 @@ class KeyedTable:
         live = live_rows(rows)
         if not live or live[-1].commit_id != target:
             raise ValueError(f"only the latest live commit can be rolled back, not {target}")
-        self._live_files(live[:-1])  # refuses to bring back files that are gone
+        self._layers(live[:-1])  # refuses to bring back files that are gone
         commit_id = self._new_id(rows, commit_id)
         self.log.write(commit_id, kind=ROLLBACK, operation="rollback", target=target)
+        self._tell(commit_id)
         return commit_id
 
     def clean(self, retain: int, commit_id: str | None = None) -> int:
@@ -250,7 +267,7 @@ class KeyedTable:
 
         A file goes when the commit that replaced it is not newer than the oldest
         retained version of its partition.  At least one older version always
-        stays, so the latest commit can still be rolled back.
+        stays, so the latest commit can still be rolled back.  Tasks delete the files.
         """
         if retain < 1:
             raise ValueError("retain at least one older version")
@@ -273,14 +290,19 @@ class KeyedTable:
         doomed = due.select("layer", "path", "partition_path", "bytes").unionByName(
             orphans.select("layer", "path", "partition_path", "bytes")
         )
-        paths = [f"{self.root}/{r.layer}/_version={unquote(r.path)}" for r in doomed.collect()]
-        if not paths:
+        doomed = doomed.withColumn("action", F.lit("expire"))
+        if doomed.isEmpty():
             return 0
-        self.log.write_files(commit_id, doomed.withColumn("action", F.lit("expire")))
-        self.log.write(commit_id, kind=CLEAN, operation="clean", n_files=len(paths))
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda path: delete_path(self.spark, path), paths))
-        return len(paths)
+        # The list is stored once, gone through by tasks, and only then does a commit row say so: a clean that was cut
+        # short is simply repeated, and files that are gone by then are no error.
+        self.log.write_files(commit_id, doomed)
+        listed = self.log.files([commit_id])
+        named = F.concat(F.lit(f"{path_uri(self.spark, self.root)}/"), "layer", F.lit("/_version="), "path")
+        delete_files(listed.select(named.alias("file")))
+        n = listed.count()
+        self.log.write(commit_id, kind=CLEAN, operation="clean", n_files=n)
+        self._tell(commit_id)
+        return n
 
     # ---- writing -------------------------------------------------------------------
 
@@ -409,15 +431,14 @@ class KeyedTable:
         if any(r.kind in (COMMIT, COMPACTION) and r.commit_id > commit_id for r in live_rows(rows)):
             raise ValueError(f"the base has changed since compaction {commit_id} was scheduled")
         live = live_rows(rows, commit_id)
-        files = self._live_files(live)
-        pending = [f for f in files if f.layer == DELTA]
-        if not pending:
+        _, deltas = self._layers(live)
+        if not deltas.folders:
             return None
         schema = self._schema(live)
-        delta = self._scan(pending, schema, live, DELTA)
+        folded = self._live_file_rows(live).filter(F.col("layer") == DELTA)
         return self._apply(
-            newest_delta(delta, self.spec), schema, rows, commit_id, "compact",
-            kind=COMPACTION, as_of=commit_id, folded=pending,
+            newest_delta(self._scan(deltas, schema), self.spec), schema, rows, commit_id, "compact",
+            kind=COMPACTION, as_of=commit_id, folded=folded,
         )
 
     # ---- how changes reach the files -------------------------------------------------
@@ -433,16 +454,22 @@ class KeyedTable:
         else:
             schema = _nullable(df.schema)
         commit_id = self._new_id(rows, commit_id)
-        order = [*self.spec.partition_by, *self.spec.keys]
-        stamped = self._stamp(df.select(*schema.names), commit_id)
-        if n_files:
-            placed = stamped.repartitionByRange(n_files, *order, F.xxhash64(*schema.names))
-        else:
-            placed = stamped.hint("rebalance", *self.spec.partition_by)
-        counts = self._write(placed.sortWithinPartitions(*order), BASE, commit_id, bad=F.count_if(self._unusable()))
+        stage = None
+        try:
+            if not n_files:
+                # stored once: its size says how many files it fills, and the ranges are drawn from it
+                stage = scratch_dir(self.spark, "load")
+                df.select(*schema.names).write.parquet(stage)
+                df = self.spark.read.schema(schema).parquet(stage)
+            stamped = self._stamp(df.select(*schema.names), commit_id)
+            placed = self._clustered(stamped, n_files or -(-path_bytes(self.spark, stage) // self.spec.target_file_bytes), bool(n_files))
+            counts = self._write(placed, BASE, commit_id, bad=F.count_if(self._unusable()))
+        finally:
+            if stage:
+                delete_path(self.spark, stage)
         self._refuse_bad_keys(counts, BASE, commit_id)
-        removed = self._live_files(live) if overwrite else []
-        if not counts["rows"] and not removed:
+        removed = self._live_file_rows(live) if overwrite and live else None
+        if not counts["rows"] and (removed is None or removed.isEmpty()):
             delete_path(self.spark, self._version(BASE, commit_id))
             return None
         self._commit(
@@ -451,9 +478,21 @@ class KeyedTable:
         )
         return commit_id
 
+    def _clustered(self, df: DataFrame, n_files: int, exact: bool) -> DataFrame:
+        """Rows dealt to about ``n_files`` files by ranges of partition and key, sorted within each.
+
+        The ranges hold equally many rows; a hash of the row ends the range key, so that a key that repeats without end
+        fills several files.  Where no file would be full, each partition goes to one task.
+        """
+        order = [*self.spec.partition_by, *self.spec.keys]
+        if n_files <= 1 and not exact and self.spec.partition_by:
+            return df.hint("rebalance", *self.spec.partition_by).sortWithinPartitions(*order)
+        data = [c for c in df.columns if c not in (COMMIT_TIME, COMMIT_SEQNO)]
+        return df.repartitionByRange(max(1, n_files), *order, F.xxhash64(*data)).sortWithinPartitions(*order)
+
     def _apply(
         self, changes, schema, rows, commit_id, operation, policy=None, kind=COMMIT, as_of=None,
-        folded=(), query_id=None, batch_id=None,
+        folded=None, query_id=None, batch_id=None,
     ):
         """Stage a change set once, then place it: in deltas, or into rewritten base files."""
         policy = policy or self.spec.policy
@@ -483,12 +522,12 @@ class KeyedTable:
                 delete_path(self.spark, self._version(DELTA, commit_id))
                 return None
             self._refuse_bad_keys(counts, DELTA, commit_id)
-            # whether a pending row is new is not known before it meets the base
-            n, gone = written["rows"], operation == "delete"
+            # whether a pending row is new is not known before it meets the base; the compaction counts it then
+            n = written["rows"]
             header.update(
-                kind=DELTACOMMIT, rows_received=counts["rows"], rows_inserted=0 if gone else n, rows_updated=0, rows_deleted=n if gone else 0
+                kind=DELTACOMMIT, rows_received=counts["rows"], rows_pending=n, rows_inserted=0, rows_updated=0, rows_deleted=0
             )
-            self._commit(commit_id, DELTA, schema, n, [], **header)
+            self._commit(commit_id, DELTA, schema, n, None, **header)
             return commit_id
         try:
             if kind != COMPACTION:
@@ -502,7 +541,7 @@ class KeyedTable:
             flags = [StructField(DELETED, BooleanType()), StructField(FORCED, BooleanType())]
             staged = self.spark.read.schema(StructType([*schema.fields, *_META_FIELDS, *flags])).parquet(stage)
             self._merge_into_base(
-                staged, path_bytes(self.spark, stage), schema, live, commit_id, policy, list(folded), header
+                staged, path_bytes(self.spark, stage), schema, live, commit_id, policy, folded, header
             )
         finally:
             delete_path(self.spark, stage)
@@ -511,88 +550,101 @@ class KeyedTable:
     def _merge_into_base(self, staged, staged_bytes, schema, live, commit_id, policy, folded, header):
         """Replace every file that holds a staged key, and find room for new records.
 
-        The wide rows are shuffled once: each goes straight to the task that writes
-        the successor of its file, where markers for replaced keys cancel the stored
-        rows.  No join ever sees the stored rows' other columns.
+        The wide rows are shuffled once: each goes straight to a task that writes
+        a part of its file's successor, where markers for replaced keys cancel the stored
+        rows.  No join ever sees the stored rows' other columns.  Mere deletions shuffle nothing.
         """
         on = list(self.spec.identity)
         parts = list(self.spec.partition_by)
-        stored_files = {f.path: f for f in self._live_files(live) if f.layer == BASE}
+        layer, _ = self._layers(live, deltas=False)
         pairs_path = scratch_dir(self.spark, "matches")
-        matches = self._match(staged, schema, live, stored_files, policy, pairs_path)
-        changed = staged.filter(~F.col(DELETED)).drop(DELETED, FORCED)
-        if matches.pairs is None:
-            homes = local_frame(self.spark, [], StructType([schema[c] for c in on])).withColumns(
-                {_FILE: F.lit(None).cast("string"), "_home": F.lit(None).cast("string")}
+        matches = self._match(staged, schema, layer, policy, pairs_path)
+        files = self._live_file_rows(live).filter(F.col("layer") == BASE)
+        touched = self._touched(matches.pairs, files)
+        n_matched = sum(r.n for r in touched)
+        try:
+            if header["operation"] == "delete" and self._small_enough(pairs_path):
+                written = self._write_without(pairs_path, touched, layer, schema, commit_id) if touched else {"rows": 0}
+                header.update(rows_inserted=0, rows_updated=0, rows_deleted=n_matched)
+                self._commit(commit_id, BASE, schema, written["rows"], self._removals(touched), **header)
+                return
+            changed = staged.filter(~F.col(DELETED)).drop(DELETED, FORCED)
+            home = [_FILE, "_home", _ROW]
+            if matches.pairs is None:
+                homes = local_frame(self.spark, [], StructType([schema[c] for c in on])).withColumns(
+                    {_FILE: F.lit(None).cast("string"), "_home": F.lit(None).cast("string"), _ROW: F.lit(None).cast("bigint")}
+                )
+            else:
+                if policy == EVENT_TIME:
+                    changed = changed.join(matches.beaten, on, "left_anti")
+                first = F.min(F.struct(*home)).alias("_first_match")
+                homes = matches.pairs.groupBy(*on).agg(first).select(*on, *[f"_first_match.{c}" for c in home])
+            changed = changed.join(homes, on, "left").withColumn(PARTITION_PATH, partition_path(parts))
+            is_new = F.col(_FILE).isNull()
+            stays = ~is_new & F.col("_home").eqNullSafe(F.col(PARTITION_PATH))
+            # per partition: rows that arrive, that have no file to go back to, that are new records
+            arriving = changed.groupBy(PARTITION_PATH).agg(
+                F.count("*").alias("n"), F.count_if(~stays).alias("n_homeless"), F.count_if(is_new).alias("n_new")
             )
-        else:
-            if policy == EVENT_TIME:
-                changed = changed.join(matches.beaten, on, "left_anti")
-            first = F.min(F.struct(_FILE, "_home")).alias("_first_match")
-            homes = matches.pairs.groupBy(*on).agg(first).select(*on, f"_first_match.{_FILE}", "_first_match._home")
-        changed = changed.join(homes, on, "left").withColumn(PARTITION_PATH, partition_path(parts))
-        is_new = F.col(_FILE).isNull()
-        stays = ~is_new & F.col("_home").eqNullSafe(F.col(PARTITION_PATH))
-        # per partition: rows that arrive, that have no file to go back to, that are new records
-        arriving = changed.groupBy(PARTITION_PATH).agg(
-            F.count("*").alias("n"), F.count_if(~stays).alias("n_homeless"), F.count_if(is_new).alias("n_new")
-        ).collect()
-        row_bytes = staged_bytes / max(1, sum(r.n for r in arriving))
-        touched, homes_of_new, n_slots = self._place(
-            [stored_files[p] for p in matches.files],
-            {r[PARTITION_PATH]: r.n_homeless * row_bytes for r in arriving if r.n_homeless},
-            list(stored_files.values()),
-        )
-        slot_of_path = local_frame(
-            self.spark,
-            [(p, first, n) for p, (first, n) in homes_of_new.items()],
-            f"{PARTITION_PATH} string, _first int, _n int",
-        )
-        slot_of_file = self._slots(touched)
-        spread = F.col("_first") + F.pmod(F.xxhash64(*self.spec.keys), F.col("_n")).cast("int")
-        columns = [*schema.names, COMMIT_TIME, COMMIT_SEQNO]
-        out = (
-            changed.withColumn(_FILE, F.when(stays, F.col(_FILE)))
-            .join(slot_of_file, _FILE, "left")
-            .join(slot_of_path, PARTITION_PATH, "left")
-            .select(*columns, F.coalesce(_SLOT, spread).alias(_SLOT), F.lit(_CHANGED).alias(_TAG))
-        )
-        if touched:
-            kept = self._slotted(touched, schema, live).select(*columns, _SLOT, F.lit(_STORED).alias(_TAG))
-            out = kept.unionByName(out)
-        if matches.files:
-            gone = matches.pairs.join(slot_of_file, _FILE)
-            gone = gone.select(*parts, *[c for c in self.spec.keys if c not in parts], _SLOT, F.lit(_GONE).alias(_TAG))
-            out = out.unionByName(gone, allowMissingColumns=True)
-        out = out.repartitionById(max(n_slots, 1), F.col(_SLOT))
-        order = list(dict.fromkeys((*parts, *self.spec.keys)))
-        if matches.files:
-            # sorted by partition and key, as the files are written; the newest tag leads its key
-            same_record = Window.partitionBy(*order, _SLOT).orderBy(F.desc(_TAG))
-            leading = F.max(_TAG).over(same_record.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            survives = (F.col(_TAG) == _CHANGED) | (F.col("_leading") == _STORED)
-            out = out.withColumn("_leading", leading).filter(survives)
-        else:
-            out = out.sortWithinPartitions(*order)
-        written = self._write(out.select(*columns), BASE, commit_id)
-        n_new = sum(r.n_new for r in arriving)
-        n_changed = sum(r.n for r in arriving)
-        n_matched = sum(matches.files.values())
-        header.update(
-            rows_inserted=n_new, rows_updated=n_changed - n_new, rows_deleted=n_matched - (n_changed - n_new)
-        )
-        self._commit(commit_id, BASE, schema, written["rows"], [*touched, *folded], **header)
-        if matches.pairs is not None:
+            room = files.filter(F.col("bytes") < self.spec.small_file_bytes).groupBy("partition_path")
+            room = room.agg(F.min(F.struct("bytes", "path")).alias("smallest")).withColumnRenamed("partition_path", "_room")
+            arriving = arriving.join(room, F.col(PARTITION_PATH) == F.col("_room"), "left").drop("_room").collect()
+            row_bytes = staged_bytes / max(1, sum(r.n for r in arriving))
+            touched, slots, homes_of_new, n_slots = self._slots(touched, arriving, row_bytes, layer, schema)
+            slot_of_path = local_frame(self.spark, homes_of_new, f"{PARTITION_PATH} string, _first int, _n int")
+            slot_of_file = local_frame(self.spark, slots, f"{_FILE} string, {_SLOT} int, _parts int, _rows bigint")
+            # rows of a large file go to one of its parts by their place in it, which is a range of keys
+            own_slot = F.col(_SLOT) + F.least(F.col("_parts") - 1, F.floor(F.col(_ROW) * F.col("_parts") / F.col("_rows"))).cast("int")
+            spread = F.col("_first") + F.pmod(F.xxhash64(*self.spec.keys), F.col("_n")).cast("int")
+            columns = [*schema.names, COMMIT_TIME, COMMIT_SEQNO]
+            out = (
+                changed.withColumn(_FILE, F.when(stays, F.col(_FILE)))
+                .join(slot_of_file, _FILE, "left")
+                .join(slot_of_path, PARTITION_PATH, "left")
+                .select(*columns, F.coalesce(own_slot, spread).alias(_SLOT), F.lit(_CHANGED).alias(_TAG))
+            )
+            if touched:
+                split = any(n > 1 for _, _, n, _ in slots)
+                kept = self._scan(layer, schema, located=True, placed=split, only=[r.path for r in touched])
+                kept = kept if split else kept.withColumn(_ROW, F.lit(0))
+                kept = kept.join(slot_of_file, _FILE).select(*columns, own_slot.alias(_SLOT), F.lit(_STORED).alias(_TAG))
+                out = kept.unionByName(out)
+            if n_matched:
+                gone = matches.pairs.join(slot_of_file, _FILE)
+                gone = gone.select(*dict.fromkeys((*parts, *self.spec.keys)), own_slot.alias(_SLOT), F.lit(_GONE).alias(_TAG))
+                out = out.unionByName(gone, allowMissingColumns=True)
+            out = out.repartitionById(max(n_slots, 1), F.col(_SLOT))
+            order = list(dict.fromkeys((*parts, *self.spec.keys)))
+            if n_matched:
+                # sorted by partition and key, as the files are written; the newest tag leads its key
+                same_record = Window.partitionBy(*order, _SLOT).orderBy(F.desc(_TAG))
+                leading = F.max(_TAG).over(same_record.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                survives = (F.col(_TAG) == _CHANGED) | (F.col("_leading") == _STORED)
+                out = out.withColumn("_leading", leading).filter(survives)
+            else:
+                out = out.sortWithinPartitions(*order)
+            written = self._write(out.select(*columns), BASE, commit_id)
+            n_new = sum(r.n_new for r in arriving)
+            n_changed = sum(r.n for r in arriving)
+            header.update(
+                rows_inserted=n_new, rows_updated=n_changed - n_new, rows_deleted=n_matched - (n_changed - n_new)
+            )
+            removed = self._removals(touched)
+            removed = removed if folded is None else removed.unionByName(folded.select(F.lit("remove").alias("action"), *removed.columns[1:]))
+            self._commit(commit_id, BASE, schema, written["rows"], removed, **header)
+        finally:
             delete_path(self.spark, pairs_path)
 
-    def _match(self, staged, schema, live, stored_files, policy, pairs_path) -> _Matches:
+    def _match(self, staged, schema, layer: _Layer, policy, pairs_path) -> _Matches:
         """Find stored rows with a staged key, reading key columns of candidate files only.
 
         Candidates are the files of partitions the change set touches; the range of
-        its keys prunes row groups.  The staged side is broadcast by Spark if small.
+        its keys there prunes row groups.  The staged side is broadcast by Spark if small.
         """
         on = list(self.spec.identity)
         parts = list(self.spec.partition_by)
+        if not layer.folders:
+            return _Matches(None, None)
         ranges = [
             f(c).alias(f"{name}_{i}")
             for i, c in enumerate(self.spec.keys)
@@ -600,17 +652,8 @@ class KeyedTable:
         ]
         by_path = F.lit("") if self.spec.global_key else partition_path(parts)
         bounds = staged.groupBy(by_path.alias("_path")).agg(*ranges).collect()
-        candidates = list(stored_files.values())
-        if parts and not self.spec.global_key:
-            hit = {r["_path"] for r in bounds}
-            candidates = [f for f in candidates if f.partition_path in hit]
-        if not candidates:
-            return _Matches(None, None, {})
-        stored = self._scan(candidates, schema, live, BASE, located=True)
-        for i, key in enumerate(self.spec.keys):
-            lo, hi = min(r[f"lo_{i}"] for r in bounds), max(r[f"hi_{i}"] for r in bounds)
-            stored = stored.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
-        found = [*dict.fromkeys((*parts, *self.spec.keys)), _FILE, partition_path(parts).alias("_home")]
+        stored = self._candidates(self._scan(layer, schema, located=True, placed=True), bounds)
+        found = [*dict.fromkeys((*parts, *self.spec.keys)), _FILE, _ROW, partition_path(parts).alias("_home")]
         offered = staged.select(*on)
         if policy == EVENT_TIME:
             found.append(F.struct(*self.spec.order_by).alias("_stored"))
@@ -622,72 +665,134 @@ class KeyedTable:
         if policy == EVENT_TIME:
             beaten = pairs.filter("_stored > _offered").select(*on)
             pairs = pairs.join(beaten, on, "left_anti")
-        files = {r[_FILE]: r.n for r in pairs.groupBy(_FILE).agg(F.count("*").alias("n")).collect()}
-        return _Matches(pairs, beaten, files)
+        return _Matches(pairs, beaten)
 
-    def _slots(self, touched: list[DataFile]) -> DataFrame:
-        return local_frame(self.spark, [(f.path, i) for i, f in enumerate(touched)], f"{_FILE} string, {_SLOT} int")
+    def _candidates(self, stored: DataFrame, bounds: list[Row]) -> DataFrame:
+        """Stored rows that lie in the key range of their own partition's changes.
 
-    def _slotted(self, touched: list[DataFile], schema: StructType, live: list[Row]) -> DataFrame:
-        """Rows of the files to replace, each with the number of its file."""
-        return self._scan(touched, schema, live, BASE, located=True).join(self._slots(touched), _FILE)
+        ``bounds``: per touched partition, the smallest and largest value of each key column.  Partitions whose ranges
+        overlap share a filter; the others get one each, so that a range in one partition opens no files of another.
+        """
+        groups: list[list[Row]] = []
+        end = None
+        for r in sorted(bounds, key=lambda r: r["lo_0"]):
+            if groups and r["lo_0"] <= end:
+                groups[-1].append(r)
+                end = max(end, r["hi_0"])
+            else:
+                groups.append([r])
+                end = r["hi_0"]
+        size = -(-len(groups) // RANGES)
+        groups = [sum(groups[at : at + size], []) for at in range(0, len(groups), size or 1)]
+        branches = []
+        for group in groups:
+            branch = stored
+            for i, key in enumerate(self.spec.keys):
+                branch = branch.filter(F.col(key).between(F.lit(min(r[f"lo_{i}"] for r in group)), F.lit(max(r[f"hi_{i}"] for r in group))))
+            if self.spec.partition_by and not self.spec.global_key and len(group) <= NAMED:
+                branch = branch.filter(partition_path(self.spec.partition_by).isin([r["_path"] for r in group]))
+            branches.append(branch)
+        out = branches[0] if branches else stored.limit(0)
+        for branch in branches[1:]:
+            out = out.unionByName(branch)
+        return out
+
+    def _touched(self, pairs: DataFrame | None, files: DataFrame) -> list[Row]:
+        """The files a change set touches, with the number of rows to be replaced: path, partition_path, bytes, n."""
+        if pairs is None:
+            return []
+        counts = pairs.groupBy(_FILE).agg(F.count("*").alias("n"))
+        rows = files.join(counts, F.col("path") == F.col(_FILE)).select("layer", "path", "partition_path", "bytes", "n").collect()
+        return sorted(rows, key=lambda r: r.path)
+
+    def _removals(self, touched: list[Row]) -> DataFrame:
+        return local_frame(self.spark, [("remove", r.layer, r.path, r.partition_path, r.bytes) for r in touched], _REMOVED)
+
+    def _small_enough(self, path: str) -> bool:
+        """Whether Spark would broadcast a stored frame."""
+        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        if limit.lstrip("-").isdigit():
+            limit = int(limit)
+        else:
+            limit = self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+        return path_exists(self.spark, path) and path_bytes(self.spark, path) <= limit
 
-    def _place(self, touched: list[DataFile], arriving: dict[str, float], stored: list[DataFile]):
-        """Number the new files: one per replaced file, then room for new rows by partition.
+    def _write_without(self, pairs_path, touched, layer, schema, commit_id) -> dict:
+        """Write the successors of the touched files without the matched keys: each file is read and written by one task.
 
-        ``arriving`` estimates the bytes of new rows per partition.  They join the
-        partition's smallest file while that stays small; otherwise they get files of
-        the target size of their own, however many the partition needs.
+        Nothing is shuffled.  Only a file larger than ``rewrite_bytes`` is dealt to several tasks, each of which
+        takes a stretch of it.
         """
-        touched = list(touched)
-        smallest: dict[str, DataFile] = {}
-        for f in stored:
-            if f.bytes < self.spec.small_file_bytes:
-                best = smallest.get(f.partition_path)
-                if best is None or (f.bytes, f.path) < (best.bytes, best.path):
-                    smallest[f.partition_path] = f
-        number = {f.path: i for i, f in enumerate(touched)}
-        homes: dict[str, tuple[int, int]] = {}
-        apart: dict[str, int] = {}
-        for path, size in sorted(arriving.items()):
-            small = smallest.get(path)
-            if small is not None and small.bytes + size <= self.spec.target_file_bytes:
-                if small.path not in number:
-                    number[small.path] = len(touched)
-                    touched.append(small)
-                homes[path] = (number[small.path], 1)
-            else:
-                apart[path] = max(1, math.ceil(size / self.spec.target_file_bytes))
-        following = len(touched)
-        for path, n in apart.items():
-            homes[path] = (following, n)
+        on = list(self.spec.identity)
+        apart = whole_files(self.spark, self.spec.rewrite_bytes)
+        kept = self._scan(layer, schema, only=[r.path for r in touched], session=apart)
+        gone = apart.read.parquet(pairs_path).select(*on)
+        return self._write_in_order(kept.join(gone, on, "left_anti"), schema, commit_id)
+
+    def _write_in_order(self, df, schema, commit_id, **more) -> dict:
+        """Write rows that come file by file in key order; only folders of partitions ask for a sort of their own."""
+        df = df.select(*schema.names, COMMIT_TIME, COMMIT_SEQNO)
+        order = list(dict.fromkeys((*self.spec.partition_by, *self.spec.keys)))
+        return self._write(df.sortWithinPartitions(*order) if self.spec.partition_by else df, BASE, commit_id, **more)
+
+    def _slots(self, touched: list[Row], arriving: list[Row], row_bytes: float, layer: _Layer, schema: StructType):
+        """Number the new files: parts of each replaced file, then room for new rows by partition.
+
+        New rows join their partition's smallest file while that stays small; otherwise they get files of
+        the target size of their own, however many the partition needs.  Gives the replaced files, their rows
+        (path, first number, parts, rows), the numbers for new rows by partition, and how many there are.
+        """
+        touched = {r.path: r for r in touched}
+        joins, apart = {}, {}
+        for r in arriving:
+            need = r.n_homeless * row_bytes
+            if r.n_homeless and r.smallest and r.smallest.bytes + need <= self.spec.target_file_bytes:
+                path = r.smallest.path
+                joins[r[PARTITION_PATH]] = path
+                touched.setdefault(path, Row(layer=BASE, path=path, partition_path=r[PARTITION_PATH], bytes=r.smallest.bytes, n=0))
+            elif r.n_homeless:
+                apart[r[PARTITION_PATH]] = max(1, -int(-need // self.spec.target_file_bytes))
+        parts = {p: max(1, -(-r.bytes // self.spec.rewrite_bytes)) for p, r in touched.items()}
+        large = [p for p, n in parts.items() if n > 1]
+        lengths = {}
+        if large:
+            counted_rows = self._scan(layer, schema, located=True, only=large).groupBy(_FILE).agg(F.count("*").alias("n"))
+            lengths = {r[_FILE]: r.n for r in counted_rows.collect()}
+        slots, following = [], 0
+        for path in sorted(touched):
+            slots.append((path, following, parts[path], max(1, lengths.get(path, 1))))
+            following += parts[path]
+        first = {path: at for path, at, _, _ in slots}
+        homes = [(p, first[path], 1) for p, path in joins.items()]
+        for p, n in sorted(apart.items()):
+            homes.append((p, following, n))
             following += n
-        return touched, homes, following
+        return list(touched.values()), slots, homes, following
 
     def _rewrite_where(self, predicate, sets, commit_id, operation):
         rows = self.log.rows()
         live = live_rows(rows)
         schema = self._schema(live)
-        files = {f.path: f for f in self._live_files(live) if f.layer == BASE}
-        stored = self._scan(list(files.values()), schema, live, BASE, located=True)
-        hits = {r[_FILE]: r.n for r in stored.filter(predicate).groupBy(_FILE).agg(F.count("*").alias("n")).collect()}
-        if not hits:
+        layer, _ = self._layers(live, deltas=False)
+        chosen = F.coalesce(predicate, F.lit(False))
+        files = self._live_file_rows(live).filter(F.col("layer") == BASE)
+        hits = self._scan(layer, schema, located=True).filter(predicate).select(_FILE)
+        touched = self._touched(hits, files)
+        if not touched:
             return None
         commit_id = self._new_id(rows, commit_id)
-        touched = [files[p] for p in sorted(hits)]
-        part = self._slotted(touched, schema, live)
-        chosen = F.coalesce(predicate, F.lit(False))
+        part = self._scan(layer, schema, only=[r.path for r in touched], session=whole_files(self.spark, self.spec.rewrite_bytes))
+        # counted where the rows are changed, so that the numbers are those of this very pass
+        marked, seen = counted(part.withColumn(_TAG, chosen), chosen=F.count_if(F.col(_TAG)))
         if sets is None:
-            part = part.filter(~chosen)
+            out = marked.filter(~F.col(_TAG))
         else:
             stamp = {COMMIT_TIME: F.lit(commit_id), COMMIT_SEQNO: F.monotonically_increasing_id()}
-            part = part.withColumns({c: F.when(chosen, v).otherwise(F.col(c)) for c, v in {**sets, **stamp}.items()})
-        out = part.repartitionById(len(touched), F.col(_SLOT))
-        out = out.select(*schema.names, COMMIT_TIME, COMMIT_SEQNO)
-        written = self._write(out.sortWithinPartitions(*self.spec.partition_by, *self.spec.keys), BASE, commit_id)
-        n = sum(hits.values())
+            out = marked.withColumns({c: F.when(F.col(_TAG), v).otherwise(F.col(c)) for c, v in {**sets, **stamp}.items()})
+        written = self._write_in_order(out, schema, commit_id)
+        n = observed(seen)["chosen"]
         self._commit(
-            commit_id, BASE, schema, written["rows"], touched, kind=COMMIT, operation=operation,
+            commit_id, BASE, schema, written["rows"], self._removals(touched), kind=COMMIT, operation=operation,
             rows_inserted=0, rows_updated=0 if sets is None else n, rows_deleted=n if sets is None else 0,
         )
         return commit_id
@@ -736,67 +841,75 @@ class KeyedTable:
         return StructType([*schema.fields, *_META_FIELDS, *extra])
 
     def _scan(
-        self, files: list[DataFile], schema: StructType, live: list[Row], layer: str, located: bool = False
+        self, layer: _Layer, schema: StructType, located: bool = False, placed: bool = False,
+        only: list[str] | None = None, session: SparkSession | None = None,
     ) -> DataFrame:
-        """Read data files as one native Parquet scan; ``located`` adds each row's file.
+        """Read a layer's live files as one native Parquet scan of its version folders.
 
-        The file column is added on request only: Spark reads row numbers as well when
-        the file metadata ends up unused.
+        Files that are not live are left out by their name, while Spark lists the folders; a list too long for a plan
+        is joined instead.  ``only`` keeps the named ones of them.  ``located`` adds each row's file and ``placed`` its
+        place there, on request only: Spark reads row numbers as well when the file metadata ends up unused.
         """
-        stored = self._stored_schema(schema, layer)
-        if not files:
-            extra = [StructField(_FILE, StringType())] if located else []
-            return self.spark.createDataFrame([], StructType([*stored.fields, *extra]))
-        written = {r.commit_id: r.n_files for r in live}
-        by_version = defaultdict(list)
-        for f in files:
-            by_version[f.commit_id].append(f)
-        paths = []
-        for version, members in sorted(by_version.items()):
-            if len(members) == written.get(version):
-                # nothing of it was replaced, so the folder stands for its files; all of them must be there
-                folder = self._version(layer, version)
-                if data_files(self.spark, folder) < len(members):
-                    raise FileNotFoundError(f"{folder} has lost data files")
-                paths.append(folder)
-            else:
-                paths += [f"{self.root}/{layer}/_version={_literal_path(f.path)}" for f in members]
-        df = self.spark.read.schema(stored).option("basePath", f"{self.root}/{layer}").parquet(*paths)
-        if located:
-            df = df.withColumn(_FILE, _logged(F.col("_metadata.file_path")))
-        return df.drop("_version")
-
-    def _commit(self, commit_id, layer, schema, n_rows: int, removed: list[DataFile], **header) -> None:
+        spark = session or self.spark
+        stored = self._stored_schema(schema, layer.name)
+        if not layer.folders:
+            extra = [StructField(_FILE, StringType())] * located + [StructField(_ROW, LongType())] * placed
+            return spark.createDataFrame([], StructType([*stored.fields, *extra]))
+        df = spark.read.schema(stored).option("basePath", f"{self.root}/{layer.name}").parquet(*layer.folders)
+        own = _logged(F.col("_metadata.file_path"))
+        if isinstance(layer.skipped, list):
+            if layer.skipped:
+                df = df.filter(~own.isin(layer.skipped))
+            if only is not None and len(only) <= NAMED:
+                df = df.filter(own.isin(only))
+                only = None
+        join_skipped = not isinstance(layer.skipped, list)
+        if located or join_skipped or only is not None:
+            df = df.withColumn(_FILE, own)
+        if placed:
+            df = df.withColumn(_ROW, F.col("_metadata.row_index"))
+        if join_skipped:
+            df = df.join(spark.read.schema("path string").parquet(layer.skipped), F.col(_FILE) == F.col("path"), "left_anti")
+        if only is not None:
+            df = df.join(local_frame(spark, [(p,) for p in only], "_only string"), F.col(_FILE) == F.col("_only"), "left_semi")
+        return df.drop("_version") if located else df.drop("_version", _FILE)
+
+    def _commit(self, commit_id, layer, schema, n_rows: int, removed: DataFrame | None, **header) -> None:
         """Log a finished write.  Its files are listed by the executors; none is opened.
 
         A version left without rows has no file worth logging (and no partition folders).
         """
-        gone = local_frame(
-            self.spark,
-            [("remove", f.layer, f.path, f.partition_path, f.bytes) for f in removed],
-            "action string, layer string, path string, partition_path string, bytes bigint",
-        )
-        changed = self._listing(layer, commit_id, schema).unionByName(gone) if n_rows else gone
-        files, seen = counted(changed.repartition(1), n_added=F.count_if(F.col("action") == "add"))
+        gone = local_frame(self.spark, [], _REMOVED) if removed is None else removed
+        gone = gone.select(F.lit("remove").alias("action"), "layer", "path", "partition_path", "bytes")
+        changed = self._listing(layer, [self._version(layer, commit_id)], schema).unionByName(gone) if n_rows else gone
+        files, seen = counted(changed.hint("rebalance"), n_added=F.count_if(F.col("action") == "add"))
         self.log.write_files(commit_id, files)
         n_files = observed(seen).get("n_added", 0)
         self.log.write(commit_id, n_files=n_files, table_schema=schema.json(), **header)
+        self._tell(commit_id)
+
+    def _tell(self, commit_id: str) -> None:
+        for hook in self.hooks:
+            hook(self, commit_id)
 
-    def _listing(self, layer: str, commit_id: str, schema: StructType) -> DataFrame:
-        """The files of one version folder."""
-        parts = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in self.spec.partition_by)
+    def _listing(self, layer: str, folders: list[str], schema: StructType | None) -> DataFrame:
+        """The files of version folders; without a schema, their paths only."""
+        parts = "" if schema is None else ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in self.spec.partition_by)
         listing = "path string, modificationTime timestamp, length bigint, content binary"
         written = (
             self.spark.read.format("binaryFile")
             .schema(f"{listing}, {parts}" if parts else listing)
             .option("basePath", f"{self.root}/{layer}")
             .option("pathGlobFilter", "*.parquet")
-            .load(self._version(layer, commit_id))
+            .load(folders)
         )
+        path = _logged(F.col("_metadata.file_path")).alias("path")
+        if schema is None:
+            return written.select(path)
         return written.select(
             F.lit("add").alias("action"),
             F.lit(layer).alias("layer"),
-            _logged(F.col("_metadata.file_path")).alias("path"),
+            path,
             partition_path(self.spec.partition_by).alias("partition_path"),
             F.col("_metadata.file_size").alias("bytes"),
         )
@@ -807,17 +920,43 @@ class KeyedTable:
         added = rows.filter(F.col("action") == "add").join(removed, "path", "left_anti")
         return added.select("layer", "commit_id", "path", "partition_path", "bytes")
 
-    def _live_files(self, live: list[Row]) -> list[DataFile]:
-        """The live file list: paths only, never rows of data."""
-        named = self._live_file_rows(live)
-        cleans = [r.commit_id for r in self.log.rows() if r.kind == CLEAN]
-        # An old version can be read, or returned to, only while retention has left its files in place.
-        expired = self.log.files(cleans).filter(F.col("action") == "expire").select("path", F.lit(True).alias("_expired"))
-        rows = named.join(expired, "path", "left").select(*named.columns, "_expired").distinct().collect()
-        if any(r["_expired"] for r in rows):
+    def _layers(self, live: list[Row], deltas: bool = True) -> tuple[_Layer, _Layer]:
+        """Base and deltas of a version, once what lies in the folders is found to agree with the log.
+
+        Names are compared by Spark.  A listed file that is not there raises; a file that is there but not
+        listed is not read, whether it was replaced or never belonged.  To the driver come a row for each commit and
+        the names that differ, as long as a plan can hold them.
+        """
+        listed = self._live_file_rows(live)
+        listed = listed if deltas else listed.filter(F.col("layer") == BASE)
+        held = sorted((r.layer, r.commit_id) for r in listed.select("layer", "commit_id").distinct().collect())
+        folders = {name: [self._version(layer, c) for layer, c in held if layer == name] for name in (BASE, DELTA)}
+        flag = lambda name: [F.lit(int(name == f)).alias(f) for f in ("live", "there", "expired")]
+        both = listed.select("path", *flag("live"))
+        try:
+            for name, paths in folders.items():
+                if paths:
+                    both = both.union(self._listing(name, paths, None).select("path", *flag("there")))
+        except AnalysisException as error:
+            raise FileNotFoundError(f"{self.root} has lost a version folder: {error}") from error
+        cleans = [r.commit_id for r in self.log.rows() if r.kind == CLEAN] if held else []
+        if cleans:
+            # An old version can be read, or returned to, only while retention has left its files in place.
+            expired = self.log.files(cleans).filter(F.col("action") == "expire")
+            both = both.union(expired.select("path", *flag("expired")))
+        odd = both.groupBy("path").agg(*[F.max(f).alias(f) for f in ("live", "there", "expired")])
+        odd = odd.filter("live <> there OR live + expired = 2")
+        found = odd.limit(NAMED + 1).collect() if held else []
+        bad = [r for r in found if r.live] if len(found) <= NAMED else odd.filter("live = 1").limit(1).collect()
+        if any(r.expired for r in bad):
             raise ValueError("this version needs files that retention has removed")
-        files = [DataFile(**{c: r[c] for c in named.columns}) for r in rows]
-        return sorted(files, key=lambda f: f.path)
+        if bad:
+            raise FileNotFoundError(f"{self.root} has lost data files, {bad[0].path} among them")
+        skipped: list[str] | str = [r.path for r in found]
+        if len(found) > NAMED:
+            skipped = scratch_dir(self.spark, "skipped")
+            odd.select("path").write.parquet(skipped)
+        return _Layer(BASE, folders[BASE], skipped), _Layer(DELTA, folders[DELTA], skipped)
 
     def _schema(self, live: list[Row]) -> StructType:
         if not live:
@@ -851,7 +990,3 @@ def _logged(file_path: Column) -> Column:
     """A file's path below its layer's version folders, as the log names it."""
     return F.substring_index(file_path, "/_version=", -1)
 
-
-def _literal_path(path: str) -> str:
-    """A logged path as Spark's reader wants it: decoded, glob characters escaped."""
-    return re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(path))

@@ -17,7 +17,7 @@ from ..functions.scratch import path_exists
 
 COMMIT_SCHEMA = (
     "kind string, operation string, target string, query_id string, batch_id bigint, "
-    "rows_received bigint, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, n_files bigint, "
+    "rows_received bigint, rows_pending bigint, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, n_files bigint, "
     "table_schema string, commit_id string"
 )
 FILE_SCHEMA = (
