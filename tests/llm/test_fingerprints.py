@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
 
 from tests.llm.helpers import no_documents, odd_documents, words
 from tidemark.llm.fingerprints import Lexicon, compare_edited, edited, fingerprints, learn_lexicon, likeness, terms_of
@@ -44,6 +45,63 @@ def test_comparison_equals_brute_force(spark):
         assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want
 
 
+def by_hand(text: str | None, lexicon: set[int]) -> str:
+    """A fingerprint written out in whole numbers, one term at a time."""
+    two64 = 1 << 64
+
+    def scatter(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % two64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % two64
+        return x ^ x >> 31
+
+    digest = lambda terms: xxhash.xxh64_hexdigest(b"".join(t.to_bytes(8, "little") for t in terms))
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    found, word = set(), ""
+    for c in lowered + " ":
+        if "0" <= c <= "9" or "a" <= c <= "z" or ord(c) > 127:
+            word += c
+        elif word:
+            found.add(xxhash.xxh64_intdigest(word.encode()))
+            word = ""
+    if not found:
+        return "0"
+    own = sorted(found & lexicon)
+    if not own:
+        return "x" + digest(sorted(found))
+    out = [digest(own)]
+    for i in range(8):
+        for power in (3, 5, 7, 9, 11):
+            # a part of one in 2 ** power terms: the lowest bits of the term's draw are all 0
+            part = [t for t in own if scatter((t + (i + 1) * 0x632BE59BD9B4E019) % two64) % (1 << power) == 0]
+            out.append(digest(part) if part else "0")
+    return "-".join(out)
+
+
+def likeness_by_hand(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    one, two, best = a.split("-")[1:], b.split("-")[1:], 0.0
+    if one and two:
+        for size in range(5):
+            equal = [one[k] == two[k] for k in range(size, 40, 5) if one[k] != "0" or two[k] != "0"]
+            if len(equal) > 2:
+                best = max(best, sum(equal) / len(equal))
+    return best
+
+
+def test_fingerprints_equal_those_written_out_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lexicon = learn_lexicon(docs)
+    terms, rows = set(lexicon.tolist()), sorted((r.doc_id, r.text or "") for r in docs.collect())
+    for k, r in enumerate(compare_edited(docs, lexicon).orderBy("doc_id").collect()):
+        text, following = rows[k][1], rows[(k + 1) % len(rows)][1]
+        n = len(text) // 4
+        changed = (text[:-n] if n else text) + following[:n]
+        prints = [by_hand(t, terms) for t in (text, changed, following)]
+        assert (r.fingerprint, r.edited_fingerprint) == tuple(prints[:2])
+        assert r.near_edited == likeness_by_hand(*prints[:2]) and r.near_next == likeness_by_hand(prints[0], prints[2])
+
+
 def test_edits_are_nearer_than_neighbours(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = compare_edited(docs, learn_lexicon(docs)).collect()

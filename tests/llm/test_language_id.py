@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import zlib
 
+import zstandard
+
 from tests.llm.helpers import no_documents, odd_documents
 from tidemark.llm.language_id import UNKNOWN, Compressor, identify, keep_identified, learn_dictionaries
 from tidemark.llm.queries import op7_compression
@@ -45,3 +47,34 @@ def test_whole_texts_count():
     text = said("ae", 300)
     assert c.judge(text)[0] == "a" and c.judge(text + said("ou", 3000))[0] == "b"
     assert c.judge(text + said("ou", 250))[1] < c.judge(text + said("ae", 250))[1]
+
+
+def test_judgements_equal_those_by_frames_that_decode_again(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = learn_dictionaries(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    def frame(content: bytes, piece: bytes) -> int:
+        """Bytes of a frame, written as a stream and read back with the dictionary."""
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters.from_level(
+            5, source_size=1 << 14, dict_size=len(content), min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        raw.precompute_compress(compression_params=how)
+        out = zstandard.ZstdCompressor(dict_data=raw, compression_params=how).compress(piece)
+        assert zstandard.ZstdDecompressor(dict_data=raw).decompress(out, max_output_size=1 << 16) == piece
+        return len(out)
+
+    for r in identify(docs, learned).collect():
+        text = (texts[r.doc_id] or "").lower().encode()
+        if not any(c.isalpha() for c in texts[r.doc_id] or ""):
+            assert (r.lang_pred, r.rejected) == (UNKNOWN, True)
+            continue
+        sizes = []
+        for lang, content in learned.items():
+            first = content[-1024:] + b"\n" + text[:8192]
+            sizes.append((sum(frame(content, p) for p in (first, *(text[i : i + 8192] for i in range(8192, len(text), 8192)))), len(sizes), lang))
+        sizes.sort()
+        lead = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        assert r.lang_pred == sizes[0][2] and abs(r.score - min(1, 4 * lead)) < 1e-12
+        assert r.rejected == (lead < 0.002 and len(texts[r.doc_id]) >= 64)

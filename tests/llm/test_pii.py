@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import random
+import re
 
 import pytest
 
@@ -153,3 +154,24 @@ def test_all_values_of_the_table_are_hidden(spark):
         if not shape.search(r.text):
             assert got[r.doc_id].text == r.text
     assert n > 50 and pii.SIGN
+
+
+def test_two_dates_are_no_card():
+    rng, p = random.Random(8), Pseudonyms(KEY)
+    for between in (" ", "-", ", ", "/", " - ", "  "):
+        for _ in range(1000):
+            days = [f"{rng.randint(1950, 2049)}-{rng.randint(1, 12):02d}-{rng.randint(1, 31):02d}" for _ in range(2)]
+            if rng.random() < 0.5:
+                days = ["-".join(reversed(d.split("-"))) for d in days]
+            text = between.join(days)
+            new, counts, _ = p.apply(text)
+            assert "card" not in counts and p.apply(new, undo=True)[0] == text
+            # what stays or comes is a date again
+            assert [len(part) for part in re.split(r"\D+", new)] == [len(part) for part in re.split(r"\D+", text)]
+
+
+def test_cards_beside_dates_are_found():
+    p = Pseudonyms(KEY)
+    for text in ("2021-02-28 4111 1111 1111 1111", "4111-1111-1111-1111 28-02-2021", "20.02.2021 4111111111111111 2021-02-28"):
+        new, counts, _ = p.apply(text)
+        assert counts["card"] == 1 and counts["date"] >= 1 and p.apply(new, undo=True)[0] == text

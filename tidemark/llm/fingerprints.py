@@ -29,6 +29,8 @@ ONE_IN, EACH = (8, 32, 128, 512, 2048), 8
 #: Parts of a size must give so many hashes to be compared.
 ENOUGH = 3
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: Rows of a range at most, on average; ranges have at least 500 where the session's shuffle partitions allow for more.
+RANGE = 20_000
 #: Distinct terms that a task holds before it hands its counts on.
 HELD = 2_000_000
 
@@ -216,7 +218,7 @@ def compare_edited(docs: DataFrame, lexicon: np.ndarray, parts: int | None = Non
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = given.select("doc_id").filter("doc_id is not null")
     n = known.count()
-    parts = parts or max(1, min(n // 500, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    parts = parts or max(1, -(-n // RANGE), min(n // 500, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     cuts = sorted({int(c) for c in known.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)}) if n and parts > 1 else []
     firsts = given.select("doc_id").mapInArrow(_first_finder(cuts), "part int, doc_id long")
     firsts = firsts.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f"))

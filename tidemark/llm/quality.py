@@ -48,7 +48,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ..
         (count(r"[^\p{L}\p{N}\s.,!?'|-]") / n).alias("symbols"),
         (single("|") / n).alias("bars"),
         (count("[0-9]") / signs).alias("digits"),
-        (1 - F.size(F.array_distinct("__lines")) / F.greatest(F.size("__lines"), F.lit(1))).alias("lines_again"),
+        F.when(F.size("__lines") > 0, 1 - F.size(F.array_distinct("__lines")) / F.size("__lines")).otherwise(F.lit(0.0)).alias("lines_again"),
         ((single(".") + single("?")) / n).alias("stops"),
         (single("!") / n).alias("shouts"),
         (single(",") / n).alias("commas"),
