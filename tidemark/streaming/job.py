@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -27,11 +28,14 @@ def offset_ranges(spark: SparkSession, progress: Iterable[StreamingQueryProgress
 
     A first batch has no start.  Rows are those of the messages read; batches without any are left out.
     """
+    def written(offset) -> str | None:
+        return None if offset is None else json.dumps(offset)
+
     rows = [
-        (str(p.id), p.batchId, s.description, s.startOffset, s.endOffset, s.numInputRows)
-        for p in progress
-        for s in p.sources
-        if s.numInputRows
+        (said["id"], said["batchId"], s["description"], written(s["startOffset"]), written(s["endOffset"]), s["numInputRows"])
+        for said in (json.loads(p.json) for p in progress)
+        for s in said["sources"]
+        if s["numInputRows"]
     ]
     return local_frame(spark, rows, OFFSETS)
 
