@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import no_documents, odd_documents, words
-from tidemark.llm.decontaminate import SHORTEST, drop_contaminated, find_contaminated, tiles, words_of
+from tidemark.llm.common import map_batches
+from tidemark.llm.decontaminate import BITS, SHORTEST, _bits, _has, drop_contaminated, find_contaminated, tiles, words_of
 
 
 def brute_tiles(doc, item, shortest):
@@ -88,3 +90,26 @@ def test_odd_rows(spark):
     assert find_contaminated(no_documents(spark), items).count() == 0
     assert find_contaminated(docs, items.limit(0)).count() == 0
     assert drop_contaminated(docs, items.limit(0)).count() == 12
+
+
+def test_filter_holds_its_numbers_and_no_others(spark):
+    given = [0, 1, 7, 8, 9, 32_767, 32_768, 32_769, BITS - 32_768, BITS - 2, BITS - 1]
+    bits = _bits(spark.createDataFrame([(given[:5],), (given[5:],), ([],)], "probes array<long>"))
+    near = np.unique(np.clip(np.add.outer(given, range(-9, 10)).ravel(), 0, BITS - 1))
+    assert near[_has(bits, near)].tolist() == given
+    assert len(bits) * 8 == BITS and int(np.unpackbits(bits).sum()) == len(given)
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    long = spark.range(0, 40, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+    rows = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    try:
+        spark.conf.unset(setting)
+        counts = [r.n for r in map_batches(long, rows, "n long").collect()]
+        assert sum(counts) == 40 and max(counts) <= 6
+        spark.conf.set(setting, "1g")
+        assert [r.n for r in map_batches(long, rows, "n long").collect()] == [40]
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)

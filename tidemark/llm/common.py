@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.scratch import scratch_dir
 
 MASK = (1 << 64) - 1
+#: Bytes of texts that go to Python together.
+BATCH = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, make, schema) -> DataFrame:
+    """``mapInArrow`` over batches of ``BATCH`` at most, as 10,000 long texts at once take too much memory on both sides.
+
+    A size that the session names in spark.sql.execution.arrow.maxBytesPerBatch is left as it is; else it is set there,
+    since Spark reads it when the result is computed.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(setting, None) is None:
+        df.sparkSession.conf.set(setting, BATCH)
+    return df.mapInArrow(make, schema)
+
+
 def row_key(*columns) -> F.Column:
     """128 bits that tell rows apart by the given columns, nulls included."""
     parts = F.concat_ws(",", *[F.coalesce(F.length(c.cast("string")), F.lit(-1)).cast("string") for c in columns])

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix, rows_of, stage, word_hashes
+from .common import gram_hashes, map_batches, mix, rows_of, stage, word_hashes
 
 #: Words of the shortest tile, and of the seeds that are joined.
 SHORTEST = 5
@@ -117,14 +118,21 @@ def _seed_maker(shortest: int):
     return make
 
 
-def _hit_finder(shortest: int, bits: np.ndarray):
+def _has(bits: np.ndarray, probes: np.ndarray) -> np.ndarray:
+    """Whether each number is in the filter, eight places a byte; number p is at place p - 1, number 0 at the last."""
+    at = (probes - 1) & (BITS - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _hit_finder(shortest: int, sent: Broadcast):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
         for ids, texts in rows_of(batches, "doc_id", "text"):
             out: list[tuple] = []
             for doc_id, text in zip(ids, texts):
                 grams = gram_hashes(words_of(text), shortest)
                 one, two = _probes(grams)
-                hits = np.unique(grams[bits[one] & bits[two]])
+                hits = np.unique(grams[_has(bits, one) & _has(bits, two)])
                 if len(hits):
                     out.append((doc_id, hashlib.md5(text.encode()).digest(), text, hits.view(np.int64)))
             kinds = (pa.int64(), pa.binary(), pa.string(), pa.list_(pa.int64()))
@@ -157,12 +165,15 @@ def _bits(seeds: DataFrame) -> np.ndarray:
     """The filter of all seeds: BITS bits at most, whatever the size of the benchmark."""
     probes = seeds.select(F.explode("probes").alias("p"))
     parts = probes.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-    bits = np.zeros(BITS + (1 << 16), bool)
+    bits = np.zeros(BITS // 8, np.uint8)
     for row in parts.collect():
-        # Buckets count from 1 and hold 2^15 numbers; number 0 is in bucket 0, at its first place.
-        part = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)
-        start = (row["bucket"] - 1) * (1 << 15) + 1 if row["bucket"] else 0
-        bits[start : start + len(part)] |= part
+        # Buckets count from 1 and hold 2^15 numbers; bucket 0 holds number 0 alone.
+        if row["bucket"]:
+            part = np.frombuffer(bytes(row["bits"]), np.uint8)
+            start = (row["bucket"] - 1) * (1 << 12)
+            bits[start : start + len(part)] |= part
+        else:
+            bits[-1] |= 128
     return bits
 
 
@@ -181,17 +192,18 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVE
     A seed counts as often as the item has it, since an item that repeats itself has fewer seeds than places for them.
     """
     given = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = stage(given.mapInArrow(_seed_maker(shortest), "item_id long, item_text string, item_words long, seeds array<long>, places array<long>, probes array<long>"), "items")
-    bits = _bits(items)
+    items = stage(map_batches(given, _seed_maker(shortest), "item_id long, item_text string, item_words long, seeds array<long>, places array<long>, probes array<long>"), "items")
+    bits = docs.sparkSession.sparkContext.broadcast(_bits(items))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hits = stage(texts.mapInArrow(_hit_finder(shortest, bits), "doc_id long, digest binary, text string, hits array<long>").dropDuplicates(["doc_id", "digest"]), "hits")
+    hits = stage(map_batches(texts, _hit_finder(shortest, bits), "doc_id long, digest binary, text string, hits array<long>").dropDuplicates(["doc_id", "digest"]), "hits")
     seeds = items.select("item_id", "item_words", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("places"))))
     shared = hits.select("doc_id", "digest", F.explode("hits").alias("seed")).join(seeds, "seed")
     pairs = shared.groupBy("doc_id", "digest", "item_id", "item_words").agg(F.sum("places").alias("n")).filter(F.col("n") * shortest >= cover * F.col("item_words"))
     pairs = stage(pairs.select(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest"), F.col("item_id").alias("__item")), "pairs")
     both = hits.join(pairs, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("digest") == F.col("__digest")))
     both = both.join(items.select("item_id", "item_text"), F.col("__item").eqNullSafe(F.col("item_id"))).select("doc_id", "digest", "text", "item_id", "item_text")
-    return both.mapInArrow(
+    return map_batches(
+        both,
         _tiler(shortest, cover, least),
         "doc_id long, digest binary, item_id long, coverage double, matched long, n_tiles long, tiles array<struct<doc_start:long,item_start:long,length:long>>",
     )

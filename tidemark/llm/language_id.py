@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, stage
+from .common import map_batches, rows_of, stage
 
 #: Bytes of a dictionary, and of the pieces of text it is made of. Only so much is learned for each language,
 #: from a sample that a hash of the text draws from all labelled rows.
@@ -109,7 +109,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     MARGIN; lang_pred still names the best. Null ids and repeated rows give a row each; an empty table gives none.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return given.mapInArrow(_judge(dictionaries), "doc_id long, lang_pred string, score double, rejected boolean")
+    return map_batches(given, _judge(dictionaries), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
@@ -122,4 +122,4 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
             mask = [not compressor.judge(t)[2] for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_batches(docs, keep, docs.schema)

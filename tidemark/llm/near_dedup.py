@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix, rows_of, stage, word_hashes
+from .common import gram_hashes, map_batches, mix, rows_of, stage, word_hashes
 from .components import components
 
 #: 40 bands of 5 slots miss a pair of similarity 0.8 with probability (1 - 0.8 ** 5) ** 40, about 1e-7.
@@ -206,7 +206,7 @@ def near_duplicates(
         raise ValueError("at most 256 slots")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage(
-        texts.mapInArrow(_signer(shingle, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>"),
+        map_batches(texts, _signer(shingle, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>"),
         "signatures",
     )
     usable = signed.filter("doc_id is not null and n_shingles > 0")
@@ -218,7 +218,7 @@ def near_duplicates(
     crowded = entries.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     buckets = stage(entries.join(crowded.select("key"), "key"), "buckets")
     involved = stage(buckets.select(F.col("rep").alias("doc_id")).distinct(), "involved")
-    sets = stage(texts.join(involved, "doc_id", "left_semi").mapInArrow(_set_maker(shingle), "doc_id long, digest binary, shingles array<long>, sketch array<long>"), "sets")
+    sets = stage(map_batches(texts.join(involved, "doc_id", "left_semi"), _set_maker(shingle), "doc_id long, digest binary, shingles array<long>, sketch array<long>"), "sets")
 
     member_of = usable.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
     split = member_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).filter("b < most")

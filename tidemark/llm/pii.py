@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .common import rows_of
+from .common import map_batches, rows_of
 
 ROUNDS = 10
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date", "secret")
@@ -402,4 +402,4 @@ def pseudonymise(docs: DataFrame, key: bytes, kinds: tuple[str, ...] = KINDS, te
     schema = StructType(list(given.schema.fields))
     if details:
         schema = schema.add("n_private", "long").add("kinds", "string")
-    return given.mapInArrow(replace, schema)
+    return map_batches(given, replace, schema)
