@@ -230,3 +230,20 @@ def test_pending_actions_are_what_the_compaction_then_counts(spark, root, policy
     row = table.log.rows()[-1]
     assert (row.rows_inserted, row.rows_deleted) == (5, 5) and row.rows_updated == updates
     assert [r.rows_pending for r in table.log.rows()] == [None, 20, 10, 5, None]
+
+
+def test_no_task_sorts_more_rows_than_memory_has_room_for(spark, root):
+    """Rows that pack well fill few bytes; files end by the memory of their sort, in loads and in rewrites."""
+    spec = FLAT.with_(sort_bytes=400_000)
+    table = KeyedTable.create(spark, root, spec)
+    longest = lambda: table.snapshot(metadata=True).groupBy("_file_name").count().agg(F.max("count")).first()[0]
+    rows = lambda start, n, add: spark.range(start, start + n).select("id", (F.col("id") + add).alias("sk"), F.lit("x").alias("txt"))
+    table.insert(rows(0, 20_000, 0), "1")
+    assert longest() <= 6_000 and table.files().count() >= 4
+    table.upsert(rows(10_000, 30_000, 1), "2")
+    assert longest() <= 6_000
+    assert table.snapshot().count() == 40_000 and table.snapshot().filter("sk = id + 1").count() == 30_000
+    per_file = table.snapshot(metadata=True).filter("id < 20000").groupBy("_file_name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("lo").collect()
+    assert all(a.hi < b.lo for a, b in zip(per_file, per_file[1:]))
+    table.insert(rows(0, 20_000, 2), "3", overwrite=True)
+    assert longest() <= 6_000 and table.snapshot().count() == 20_000

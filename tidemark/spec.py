@@ -32,7 +32,8 @@ class TableSpec:
     says what happens when the stored row has the larger ordering value:
     ``overwrite_latest`` takes the incoming row anyway, ``event_time`` keeps the
     stored one.  A replaced file larger than ``rewrite_bytes`` is written by several
-    tasks, as files of about that size.  With ``global_key`` a key is unique over the whole table and may
+    tasks, as files of about that size.  The rows that one task sorts take about ``sort_bytes``
+    of memory at most, so files end before ``target_file_bytes`` where rows pack well.  With ``global_key`` a key is unique over the whole table and may
     move between partitions; otherwise it is unique within its partition.
     """
 
@@ -47,6 +48,7 @@ class TableSpec:
     target_file_bytes: int = 1024 * MIB
     small_file_bytes: int = 64 * MIB
     rewrite_bytes: int = 256 * MIB
+    sort_bytes: int = 512 * MIB
 
     def __post_init__(self):
         for name in ("keys", "order_by", "tie_breakers", "partition_by"):

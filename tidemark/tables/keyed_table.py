@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, MapType, StringType, StructField, StructType, VariantType
 
 from ..functions.keys import any_null, lowercase_columns, partition_path, record_key
 from ..functions.local import local_frame
@@ -459,10 +459,14 @@ class KeyedTable:
             if not n_files:
                 # stored once: its size says how many files it fills, and the ranges are drawn from it
                 stage = scratch_dir(self.spark, "load")
-                df.select(*schema.names).write.parquet(stage)
+                staging, sized = counted(df.select(*schema.names), held=_held(schema))
+                staging.write.parquet(stage)
                 df = self.spark.read.schema(schema).parquet(stage)
             stamped = self._stamp(df.select(*schema.names), commit_id)
-            placed = self._clustered(stamped, n_files or -(-path_bytes(self.spark, stage) // self.spec.target_file_bytes), bool(n_files))
+            if n_files:
+                placed = self._clustered(stamped, n_files, True)
+            else:
+                placed = self._clustered(stamped, *self._n_files(path_bytes(self.spark, stage), observed(sized).get("held", 0)))
             counts = self._write(placed, BASE, commit_id, bad=F.count_if(self._unusable()))
         finally:
             if stage:
@@ -478,6 +482,20 @@ class KeyedTable:
         )
         return commit_id
 
+    def _n_files(self, n_bytes: int, held: float) -> tuple[int, bool]:
+        """How many files a load fills, by its bytes and the memory its rows take in a sort, and whether to range them.
+
+        Partitions that fill no file are left to Spark, which splits the large ones among tasks.
+        """
+        by_bytes = -(-n_bytes // self.spec.target_file_bytes)
+        if by_bytes <= 1 and self.spec.partition_by:
+            return 1, False
+        return max(by_bytes, self._sorts(held)), True
+
+    def _sorts(self, held: float) -> int:
+        """How many tasks share a sort of rows that take so much memory."""
+        return max(1, int(-(-held // self.spec.sort_bytes)))
+
     def _clustered(self, df: DataFrame, n_files: int, exact: bool) -> DataFrame:
         """Rows dealt to about ``n_files`` files by ranges of partition and key, sorted within each.
 
@@ -507,9 +525,9 @@ class KeyedTable:
                 )
         # a rewrite sees the change set several times, so it is computed and stored once
         if kind == COMPACTION:
-            ready, seen = counted(changes)
+            ready, seen = counted(changes, held=_held(schema))
         else:
-            checked, seen = counted(changes, bad=F.count_if(self._unusable(operation == "delete")))
+            checked, seen = counted(changes, bad=F.count_if(self._unusable(operation == "delete")), held=_held(schema))
             ready = self._stamp(
                 precombine(checked, self.spec.identity, self.spec.order_by, self.spec.tie_breakers),
                 commit_id,
@@ -541,13 +559,13 @@ class KeyedTable:
             flags = [StructField(DELETED, BooleanType()), StructField(FORCED, BooleanType())]
             staged = self.spark.read.schema(StructType([*schema.fields, *_META_FIELDS, *flags])).parquet(stage)
             self._merge_into_base(
-                staged, path_bytes(self.spark, stage), schema, live, commit_id, policy, folded, header
+                staged, path_bytes(self.spark, stage), counts["held"] / counts["rows"], schema, live, commit_id, policy, folded, header
             )
         finally:
             delete_path(self.spark, stage)
         return commit_id
 
-    def _merge_into_base(self, staged, staged_bytes, schema, live, commit_id, policy, folded, header):
+    def _merge_into_base(self, staged, staged_bytes, row_held, schema, live, commit_id, policy, folded, header):
         """Replace every file that holds a staged key, and find room for new records.
 
         The wide rows are shuffled once: each goes straight to a task that writes
@@ -590,7 +608,7 @@ class KeyedTable:
             room = room.agg(F.min(F.struct("bytes", "path")).alias("smallest")).withColumnRenamed("partition_path", "_room")
             arriving = arriving.join(room, F.col(PARTITION_PATH) == F.col("_room"), "left").drop("_room").collect()
             row_bytes = staged_bytes / max(1, sum(r.n for r in arriving))
-            touched, slots, homes_of_new, n_slots = self._slots(touched, arriving, row_bytes, layer, schema)
+            touched, slots, homes_of_new, n_slots = self._slots(touched, arriving, row_bytes, row_held, layer, schema)
             slot_of_path = local_frame(self.spark, homes_of_new, f"{PARTITION_PATH} string, _first int, _n int")
             slot_of_file = local_frame(self.spark, slots, f"{_FILE} string, {_SLOT} int, _parts int, _rows bigint")
             # rows of a large file go to one of its parts by their place in it, which is a range of keys
@@ -735,29 +753,32 @@ class KeyedTable:
         order = list(dict.fromkeys((*self.spec.partition_by, *self.spec.keys)))
         return self._write(df.sortWithinPartitions(*order) if self.spec.partition_by else df, BASE, commit_id, **more)
 
-    def _slots(self, touched: list[Row], arriving: list[Row], row_bytes: float, layer: _Layer, schema: StructType):
+    def _slots(self, touched: list[Row], arriving: list[Row], row_bytes: float, row_held: float, layer: _Layer, schema: StructType):
         """Number the new files: parts of each replaced file, then room for new rows by partition.
 
         New rows join their partition's smallest file while that stays small; otherwise they get files of
-        the target size of their own, however many the partition needs.  Gives the replaced files, their rows
+        the target size of their own, however many the partition needs.  A file has as many parts as its bytes,
+        and the memory of the rows that are sorted for it, ask for.  Gives the replaced files, their rows
         (path, first number, parts, rows), the numbers for new rows by partition, and how many there are.
         """
         touched = {r.path: r for r in touched}
         joins, apart = {}, {}
+        lengths = {}
+        if paths := sorted({*touched, *[r.smallest.path for r in arriving if r.n_homeless and r.smallest]}):
+            counted_rows = self._scan(layer, schema, located=True, only=paths).groupBy(_FILE).agg(F.count("*").alias("n"))
+            lengths = {r[_FILE]: r.n for r in counted_rows.collect()}
+        # a stored row that is replaced meets a marker and its successor
+        sorted_rows = {p: lengths.get(p, 0) + (2 * touched[p].n if p in touched else 0) for p in paths}
         for r in arriving:
             need = r.n_homeless * row_bytes
-            if r.n_homeless and r.smallest and r.smallest.bytes + need <= self.spec.target_file_bytes:
+            fits = r.n_homeless and r.smallest and r.smallest.bytes + need <= self.spec.target_file_bytes
+            if fits and self._sorts((sorted_rows[r.smallest.path] + r.n_homeless) * row_held) == 1:
                 path = r.smallest.path
                 joins[r[PARTITION_PATH]] = path
                 touched.setdefault(path, Row(layer=BASE, path=path, partition_path=r[PARTITION_PATH], bytes=r.smallest.bytes, n=0))
             elif r.n_homeless:
-                apart[r[PARTITION_PATH]] = max(1, -int(-need // self.spec.target_file_bytes))
-        parts = {p: max(1, -(-r.bytes // self.spec.rewrite_bytes)) for p, r in touched.items()}
-        large = [p for p, n in parts.items() if n > 1]
-        lengths = {}
-        if large:
-            counted_rows = self._scan(layer, schema, located=True, only=large).groupBy(_FILE).agg(F.count("*").alias("n"))
-            lengths = {r[_FILE]: r.n for r in counted_rows.collect()}
+                apart[r[PARTITION_PATH]] = max(self._sorts(r.n_homeless * row_held), -int(-need // self.spec.target_file_bytes))
+        parts = {p: max(self._sorts(sorted_rows[p] * row_held), -(-r.bytes // self.spec.rewrite_bytes)) for p, r in touched.items()}
         slots, following = [], 0
         for path in sorted(touched):
             slots.append((path, following, parts[path], max(1, lengths.get(path, 1))))
@@ -982,6 +1003,19 @@ def _seen(rows: list[Row], query_id: str | None, batch_id: int | None) -> bool:
     return query_id is not None and any(r.query_id == query_id and r.batch_id == batch_id for r in rows)
 
 
+def _held(schema: StructType) -> Column:
+    """Memory that rows take in a sort: a word a column, what values of no fixed length need, and the table's own columns."""
+    wide = F.lit(8 * (len(schema.fields) + 3) + 48).cast("bigint")
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(f.dataType, (StringType, BinaryType)):
+            continue
+        wide = wide + F.coalesce(F.octet_length(value), F.lit(0))
+    return F.sum(wide)
+
+
 def _nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
 
