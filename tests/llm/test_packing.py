@@ -123,3 +123,17 @@ def test_ranks_pair_each_gap_once():
     ]
     pairs, covered = packing.pair_ranges(summary)
     assert pairs == [(1, 0, 2, 0, 0, 2), (2, 0, 4, 1, 0, 2), (2, 4, 7, 0, 1, 4)] and covered == {0: 0, 1: 2, 2: 7}
+
+
+def test_pieces_of_usual_texts_are_the_librarys():
+    import regex
+
+    rng = random.Random(5)
+    signs = "abZéßñ'sdtrevml 019_-.,!\n\t\x07\x7f\xa0\"é世"
+    for _ in range(3_000):
+        text = "".join(rng.choices(signs, k=rng.randint(0, 40)))
+        assert packing.USUAL.findall(text) == regex.findall(packing.PIECES, text), text
+
+
+def test_packed_ids_are_little_endian_words():
+    assert packing._packed([]) == b"" and packing._packed([1, 2**32 - 1]) == b"\x01\0\0\0\xff\xff\xff\xff"

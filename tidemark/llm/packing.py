@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -27,9 +27,10 @@ from ..functions.local import local_frame
 from .common import rows_of, stage
 
 #: How byte-level vocabularies split a text before merging: for the regex module, and for Python's own, which is faster
-#: and takes the same pieces where a text has none of the signs that it knows under other classes.
+#: and takes the same pieces where a text has none of the signs that it knows under other classes. There words come
+#: first, as most pieces are words, and no piece that begins with an apostrophe is one.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+USUAL = re.compile(r" ?(?:[A-Za-z]++[^\W\d_]*+|[^\W\d_]++)| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 OTHER = frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl") or "\x1c" <= c <= "\x1f")
 #: Most texts have no sign that might be one of these.
 MAYBE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]")
@@ -47,7 +48,7 @@ def _byte_signs() -> dict[int, str]:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Ids(dict):
@@ -65,7 +66,10 @@ class _Ids(dict):
         self.signs, self.model, self.pieces = _byte_signs(), self.tokenizer.model, regex.compile(PIECES)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = _packed([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.signs))])
+        # of the printable ASCII signs only the space has another sign
+        plain = piece.isascii() and piece.isprintable()
+        said = piece.replace(" ", self.signs[0x20]) if plain else piece.encode().decode("latin-1").translate(self.signs)
+        ids = _packed([t.id for t in self.model.tokenize(said)])
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -97,7 +101,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _piece_maker(path: str, capacity: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = _packed([end_id])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches, "doc_id", "text"):
