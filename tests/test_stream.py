@@ -1,5 +1,6 @@
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import MOR, KeyedTable, TableSpec
 from tidemark.functions import derive_keys
 from tidemark.metrics import BatchListener, batch_sink
+from tidemark.plans import queries
 from tidemark.sources import file_events
 from tidemark.streaming import ChangeStream
 
@@ -138,3 +140,25 @@ def test_offset_ranges_lead_from_batch_to_batch(spark, tmp_path):
     assert [(r.batch_id, r.n_rows, r.rows_received) for r in found] == [(0, 2, 4), (1, 1, 2)]
     assert found[0].start_offset is None and json.loads(found[0].end_offset) == json.loads(found[1].start_offset)
     assert [r.commit_id for r in found] == [r.commit_id for r in table.log.rows()]
+
+
+def test_no_task_writes_all_changes_of_a_year(spark, tmp_path):
+    """A year's changes fill several files where they are many; the stream still gets one message for each year."""
+    spec = TableSpec(keys=("order_id", "line_id"), order_by="order_date")
+    days = F.expr("CASE WHEN id < 60000 THEN DATE'1995-01-01' WHEN id < 60010 THEN DATE'1996-01-01' END")
+    changes = spark.range(60_010).select(
+        F.col("id").alias("order_id"), F.lit(1).alias("line_id"), F.rand(1).alias("quantity"), days.alias("order_date")
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100k")
+    try:
+        folder = Path(queries._yearly_events(spark, changes))
+    finally:
+        spark.conf.unset(size)
+    assert len([*folder.glob("data/by_year=1995/*.parquet")]) > 1
+    table = KeyedTable.create(spark, str(tmp_path / "table"), spec)
+    run(ChangeStream(table), spark, folder, "checkpoint", per_batch=1000)
+    assert [r.rows_received for r in table.batches().collect()] == [60_010]
+    assert table.snapshot().columns == changes.columns
+    assert table.snapshot().exceptAll(changes).isEmpty() and table.snapshot().count() == 60_010
+    assert spark.read.text(f"{folder}/events").count() == 2

@@ -139,6 +139,17 @@ def _change_events(spark, *changes: DataFrame) -> str:
     return folder
 
 
+def _yearly_events(spark, changes: DataFrame) -> str:
+    """The same, with a folder and one event message for each year; a year fills as many files as its rows need."""
+    folder = scratch_dir(spark, "changes")
+    yearly = changes.withColumn("by_year", F.year("order_date"))
+    yearly.hint("rebalance", "by_year").write.partitionBy("by_year").parquet(f"{folder}/data")
+    within = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    years = spark.read.parquet(f"{folder}/data").select(within.alias("path")).distinct()
+    years.select(F.to_json(F.struct("path"))).write.text(f"{folder}/events")
+    return folder
+
+
 def _run_stream(spark, table: KeyedTable, folder: str, files_per_batch: int = 2, **options) -> ChangeStream:
     stream = ChangeStream(table, **options)
     running = stream.start(
@@ -410,11 +421,7 @@ def pending_actions(spark, sf):
 def stream_offsets(spark, sf):
     """Where each batch of a stream began and ended, and the messages in between: one for each year with changes."""
     table, updates, inserts = _loaded(spark, sf, FLAT)
-    yearly = updates.unionByName(inserts).withColumn("by_year", F.year("order_date"))
-    folder = scratch_dir(spark, "changes")
-    yearly.repartition("by_year").write.partitionBy("by_year").parquet(f"{folder}/data")
-    files = spark.read.parquet(f"{folder}/data").select(F.col("_metadata.file_path").alias("path")).distinct()
-    files.select(F.to_json(F.struct("path"))).write.text(f"{folder}/events")
+    folder = _yearly_events(spark, updates.unionByName(inserts))
     stream = _run_stream(spark, table, folder, files_per_batch=1000, commit_id=lambda batch: str(int(C2) + batch))
     number = lambda c: F.get_json_object(c, "$.logOffset").cast("bigint").alias(c)
     return stream.offsets().select("batch_id", number("start_offset"), number("end_offset"), "n_rows", "commit_id", "rows_received")
